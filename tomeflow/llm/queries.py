@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tomeflow.llm import bpe, chat, exact, minhash, substring
+from tomeflow.llm import bpe, chat, exact, minhash, substring, wavelet
 
-_MODULES = (bpe, exact, minhash, substring, chat)
+_MODULES = (bpe, exact, minhash, substring, chat, wavelet)
 
 QUERIES = {name: fn for module in _MODULES for name, fn in vars(module).items() if name.startswith("op") and name[2].isdigit()}
 SQL = {name: text for module in _MODULES for name, text in module.SQL.items()}
