@@ -19,7 +19,8 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     A file with another header is an error.
     """
     lines = read_zip_member(spark, path, MEMBER).select("place", F.regexp_replace("value", r"[^\x00-\x7F]|\r", "").alias("value"))
-    checked = F.when((F.col("place") == 0) & (F.col("value") != HEADER), F.raise_error(F.lit("the archive has another header"))).otherwise(F.col("value"))
+    refused = F.raise_error(F.lit("the archive has another header")).cast("boolean")
+    is_row = F.when(F.col("place") > 0, True).when(F.col("value") != HEADER, refused).otherwise(False)
     fields = F.from_csv(F.replace("value", F.lit(";"), F.lit(",")), F.lit("user int, isbn string, rating float"), {"mode": "FAILFAST"})
-    rows = lines.select("place", checked.alias("value")).where("place > 0").select(fields.alias("f")).select("f.*")
+    rows = lines.where(is_row).select(fields.alias("f")).select("f.*")
     return rows.withColumn("isbn", clean_rating_isbn(F.col("isbn"))).where("isbn <> ''")
