@@ -5,18 +5,26 @@
    borrows from the first filled bin in a random order of its own (optimal
    densification), so small sets are sketched as well as large ones.
 2. Documents of equal sets are one class; only its representative goes on.
-3. A bucket is the set of representatives that share a band key.  Pairs are stars:
-   a round picks a few centres in each bucket, compares them with the members of
-   other components, and retires them; links found merge components; a bucket
-   whose members are all in one component is closed.  Buckets are worked off until
-   none is open, so a bucket of n near copies costs about n pairs instead of n^2,
-   and no pair of a bucket goes unjudged unless its ends are connected already.
-4. Every candidate is confirmed on the full shingle sets of the whole texts.
-
-With 5 rows and 25 bands, a pair at the least similarity of 0.85 misses all buckets
-with a probability of 4e-7; there are no caps.  Grouped steps are plain aggregates
-and equi-joins (map-side combined, split by adaptive execution), so a group of any
-size spreads over tasks.
+3. A bucket is the set of representatives that share a band key.  Its candidates are
+   a star: the member of the least identifier, most often the original, is the centre
+   and is compared with every other member.  Links merge components.
+4. Members of one centre that are in different components by then may still be similar
+   to each other.  They are dealt by prefix filtering: of two sets of similarity 0.85 in
+   any common order, the first |A| - ceil(0.85 |A|) + 1 shingles have one in common.  The
+   order puts first the shingles that neither the centre nor more than ``RARE`` members
+   have.  So copies that differ from the original each in their own way do not meet at
+   all, and a bucket of one such shingle has at most ``RARE`` members.  Where the first
+   shingles reach into the family's common ones, members are paired only if their sizes
+   leave room: of a set of which c shingles are common ones, c at most can be shared
+   with a member that shares none of the others.
+5. Every candidate is confirmed on the full shingle sets of the whole texts.
+
+So a bucket of n near copies costs about n pairs, not n^2, and no pair of a bucket goes
+unjudged unless its ends are connected already or their sets cannot be similar.  With 5
+rows and 25 bands, a pair at the least similarity misses all buckets with a probability
+of 4e-7; there are no caps.  Grouped steps are plain aggregates and equi-joins of
+written tables (map-side combined, split by adaptive execution), so a group of any size
+spreads over tasks.
 
 Defined results: a null or wordless text has no shingles and no links; rows that
 repeat an identifier are one document; a null identifier ranks below all others; an
@@ -33,13 +41,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomeflow.llm import shingles
+from tomeflow.llm.batches import small_batches
 from tomeflow.operators.components import connected_components
 from tomeflow.workspace import Workspace
 
 ROWS, BANDS = 5, 25
 BINS = ROWS * BANDS
-MAX_CENTRES = 32
 NULL_ID = -(1 << 63)
+#: A shingle of more members of a group counts as one that the family has in common.
+RARE = 16
+#: So many identifiers of 8 bytes are broadcast at most.
+BROADCAST_IDS = 2_000_000
 
 _rng = np.random.default_rng(77)
 #: RANK[j, b] is the place of bin b in the order in which the empty bin j looks for a filled one.
@@ -88,14 +100,23 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+def similar(a: np.ndarray, b: np.ndarray, both: int, percent: int) -> bool:
     """Whether 100 * intersection >= percent * union."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _confirm(percent: int):
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def prefix_length(n: int, percent: int) -> int:
+    return n - -(-percent * n // 100) + 1
+
+
+JUDGED = "centre long, member long, n long, cc long, cm long, ok boolean, own array<long>, common array<long>, shared long"
+
+
+def _judge(percent: int):
+    """Compare pairs; of members of larger buckets also list the shingles that the centre lacks, and the first common ones."""
+    names = [c.split()[0] for c in JUDGED.split(", ")]
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: dict[int, np.ndarray] = {}
 
         def of(key: int, text: pa.Scalar) -> np.ndarray:
@@ -106,11 +127,19 @@ def _confirm(percent: int):
             return recent[key]
 
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            ok = [similar(of(x, s), of(y, t), percent) for x, y, s, t in zip(a, b, batch.column(4), batch.column(5))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(ok, pa.bool_())], ["a", "b", "ca", "cb", "ok"])
+            ok, own, shared, count = [], [], [], []
+            for c, m, again, tc, tm in zip(*(batch.column(k).to_pylist() for k in (0, 1, 5)), batch.column(6), batch.column(7)):
+                a, b = of(c, tc), of(m, tm)
+                common = np.intersect1d(a, b, assume_unique=True)
+                ok.append(similar(a, b, len(common), percent))
+                count.append(len(common))
+                # Signed order, which is that of the JVM's arrays.
+                own.append(np.sort(np.setdiff1d(b, common, assume_unique=True).view(np.int64)) if again else None)
+                shared.append(np.sort(common.view(np.int64))[: prefix_length(len(b), percent)] if again else None)
+            lists = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(ok, pa.bool_()), pa.array(own, lists), pa.array(shared, lists), pa.array(count, pa.int64())], names)
 
-    return confirm
+    return judge
 
 
 def _features(docs: DataFrame, id_col: str, text_col: str, ws: Workspace) -> DataFrame:
@@ -125,74 +154,39 @@ def _features(docs: DataFrame, id_col: str, text_col: str, ws: Workspace) -> Dat
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """One row per input row: ``id, n_shingles, component_id`` (least identifier reachable), ``kept``."""
+    small_batches(docs.sparkSession)
     ws = Workspace(docs.sparkSession, "minhash")
     features = _features(docs, id_col, text_col, ws)
     some = features.where("n > 0")
-    classes = some.groupBy("d1", "d2", "n").agg(F.min("id").alias("rep"))
+    classes = ws.stage(some.groupBy("d1", "d2", "n").agg(F.min("id").alias("rep"), F.count("*").alias("rows")).where("rows > 1").drop("rows"), "classes")
+    rep = F.coalesce("rep", "id")
     members = ws.stage(
-        some.join(classes, ["d1", "d2", "n"]).select("id", "n", "rep", F.when(F.col("id") == F.col("rep"), F.col("keys")).alias("keys")),
-        "members",
+        some.join(classes, ["d1", "d2", "n"], "left").select("id", "n", rep.alias("rep"), F.when(F.col("id") == rep, F.col("keys")).alias("keys")), "members"
     )
-    exploded = members.where("keys is not null").select("rep", "n", F.explode("keys").alias("key")).distinct()
-    shared = exploded.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    exploded = members.where("keys is not null").select("rep", "n", F.explode("keys").alias("key"))
+    shared = ws.stage(exploded.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "shared")
     live = ws.stage(exploded.join(shared, "key").select("key", "rep", "n", F.col("rep").alias("comp")), "buckets")
     reps = live.select("rep").distinct()
+    reps = ws.stage(reps, "candidates")
+    # Up to a checked number of identifiers are sent to the texts, so that only candidates' texts move; beyond it texts are shuffled.
+    wanted = F.broadcast(reps) if reps.count() <= BROADCAST_IDS else reps.hint("merge")
     texts = ws.stage(
         docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("rep"), F.col(text_col).alias("text"))
         .where("text is not null")
-        .join(reps, "rep", "left_semi"),
+        .join(wanted, "rep", "left_semi"),
         "candidate-texts",
     )
     # Rows that repeat an identifier with another text are one document: their classes are linked beforehand.
     spread = members.groupBy("id").agg(F.min("rep").alias("src"), F.max("rep").alias("top")).where("src <> top").select("id", "src")
     same = ws.stage(members.join(spread, "id").select("src", F.col("rep").alias("dst")).distinct(), "repeated")
-    nodes = reps.unionAll(same.select("dst")).distinct()
-    labels = ws.stage(nodes.select("rep", F.col("rep").alias("comp")), "labels")
+    labels = ws.stage(reps.unionAll(same.select("dst")).distinct().select("rep", F.col("rep").alias("comp")), "labels")
     if not same.isEmpty():
-        labels, live = _relabel(ws, labels, live, same)
-    judged: DataFrame | None = None
-    turn = 0
-    while True:
-        width = 1 if turn == 0 else min(2**turn, MAX_CENTRES)
-        # The first centre is the least identifier, most often the original of a group of copies; later ones are random.
-        order = [F.struct("rep", "n", "comp")] if turn == 0 else [
-            F.struct(F.xxhash64("key", "rep", F.lit(turn * MAX_CENTRES + j)).alias("o"), "rep", "n", "comp") for j in range(width)
-        ]
-        centres = [F.min(o) for o in order]
-        picked = F.array(*[F.struct(c["rep"].alias("rep"), c["n"].alias("n"), c["comp"].alias("comp")) for c in centres])
-        opened = ws.stage(
-            live.groupBy("key")
-            .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.array_distinct(picked).alias("centres"))
-            .where("lo <> hi")
-            .select("key", "centres"),
-            "open",
-        )
-        if opened.isEmpty():
-            break
-        facing = live.join(opened, "key").withColumn("c", F.explode("centres"))
-        small, large = F.least("n", "c.n"), F.greatest("n", "c.n")
-        pairs = (
-            facing.where((F.col("comp") != F.col("c.comp")) & (100 * small >= percent * large))
-            .select(
-                F.least("rep", "c.rep").alias("a"),
-                F.greatest("rep", "c.rep").alias("b"),
-                F.when(F.col("rep") < F.col("c.rep"), F.col("comp")).otherwise(F.col("c.comp")).alias("ca"),
-                F.when(F.col("rep") < F.col("c.rep"), F.col("c.comp")).otherwise(F.col("comp")).alias("cb"),
-            )
-            .distinct()
-        )
-        if judged is not None:
-            pairs = pairs.join(judged, ["a", "b"], "left_anti")
-        one, two = texts.select(F.col("rep").alias("a"), F.col("text").alias("ta")), texts.select(F.col("rep").alias("b"), F.col("text").alias("tb"))
-        found = ws.stage(
-            pairs.join(one, "a").join(two, "b").select("a", "b", "ca", "cb", "ta", "tb").mapInArrow(_confirm(percent), "a long, b long, ca long, cb long, ok boolean"),
-            "judged",
-        )
-        refused = found.where("not ok").select("a", "b")
-        judged = refused if judged is None else judged.unionAll(refused)
-        rest = live.join(opened, "key").where(~F.array_contains(F.transform("centres", lambda c: c["rep"]), F.col("rep"))).select("key", "rep", "n", "comp")
-        labels, live = _relabel(ws, labels, rest, found.where("ok").select(F.col("ca").alias("src"), F.col("cb").alias("dst")))
-        turn += 1
+        labels = _relabel(ws, labels, same)
+        live = live.drop("comp").join(labels, "rep")
+    found = ws.stage(_compare(_stars(ws, live), texts, percent), "stars")
+    labels = _merge(ws, labels, found)
+    found = ws.stage(_compare(_rest(ws, found, labels, percent), texts, percent), "rest")
+    labels = _merge(ws, labels, found)
     final = members.groupBy("id").agg(F.min("rep").alias("rep")).join(labels, "rep", "left")
     out = features.select("id", "n").join(final.select("id", F.coalesce("comp", "rep").alias("comp")), "id", "left")
     plain = lambda c: F.nullif(c, F.lit(NULL_ID))
@@ -205,15 +199,71 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def _relabel(ws: Workspace, labels: DataFrame, live: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Merge the components that ``links`` connect, in the labels and in the open buckets."""
-    merged = connected_components(links).select(F.col("node").alias("comp"), F.col("component").alias("into"))
-    merged = ws.stage(merged, "merged")
-
-    def moved(df: DataFrame) -> DataFrame:
-        return df.join(merged, "comp", "left").withColumn("comp", F.coalesce("into", "comp")).drop("into")
-
-    return ws.stage(moved(labels), "labels"), ws.stage(moved(live), "buckets")
+def _stars(ws: Workspace, live: DataFrame) -> DataFrame:
+    """Pairs of the centre and each other member of every bucket; ``more`` where the bucket has others."""
+    centre = F.min(F.struct("rep", "comp")).alias("c")
+    centres = live.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), centre)
+    centres = ws.stage(centres.where("lo <> hi").select("key", "size", "c"), "centres")
+    star = live.join(centres, "key").where(F.col("rep") != F.col("c.rep"))
+    pairs = star.select(F.col("c.rep").alias("centre"), F.col("rep").alias("member"), "n", F.col("c.comp").alias("cc"), F.col("comp").alias("cm"), (F.col("size") > 2).alias("more"))
+    return ws.stage(pairs.groupBy("centre", "member").agg(*[F.max(c).alias(c) for c in ("n", "cc", "cm", "more")]), "star-pairs")
+
+
+def _compare(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    one, two = texts.select(F.col("rep").alias("centre"), F.col("text").alias("tc")), texts.select(F.col("rep").alias("member"), F.col("text").alias("tm"))
+    # Pairs grow with the corpus: they are sorted to their texts at any size, never broadcast.
+    both = pairs.join(one.hint("merge"), "centre").join(two.hint("merge"), "member").select("centre", "member", "n", "cc", "cm", "more", "tc", "tm")
+    return both.mapInArrow(_judge(percent), JUDGED)
+
+
+def _rest(ws: Workspace, found: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one centre, in different components, that may be similar."""
+    placed = found.where("own is not null").join(labels.withColumnRenamed("rep", "member"), "member")
+    home = labels.select(F.col("rep").alias("centre"), F.col("comp").alias("home"))
+    mixed = placed.groupBy("centre").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("least"))
+    mixed = ws.stage(mixed.where("lo <> hi").select("centre", "least").join(home, "centre"), "mixed")
+    placed = ws.stage(placed.join(mixed, "centre").select("centre", "member", "n", "comp", "home", "least", "own", "common", "shared"), "placed")
+    counts = placed.select("centre", F.explode("own").alias("token")).groupBy("centre", "token").agg(F.count("*").alias("k"))
+    frequent = ws.stage(counts.where(F.col("k") > RARE).groupBy("centre").agg(F.collect_list("token").alias("frequent")), "frequent")
+    placed = placed.join(frequent, "centre", "left").withColumn("frequent", F.coalesce("frequent", F.array().cast("array<long>")))
+    rare, family = F.array_except("own", "frequent"), F.array_intersect("own", "frequent")
+    length = (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1).cast("int")
+    kept = placed.select("centre", "member", "n", "comp", "home", "least", length.alias("length"), rare.alias("rare"), family.alias("family"), "common", (F.col("shared") + F.size(family)).alias("c"))
+    rest = F.greatest(F.col("length") - F.size("rare"), F.lit(0))
+    kept = ws.stage(
+        kept.select(
+            "centre", "member", "n", "comp", "home", "least", F.slice("rare", F.lit(1), F.col("length")).alias("first"), F.slice(F.array_sort(F.concat("family", "common")), F.lit(1), rest).alias("then"),
+            (F.floor(F.col("c") * (100 + percent) / percent) - F.col("n")).alias("room"),
+        ),
+        "ordered",
+    )
+    # By rare shingles: at most RARE members share one.
+    tokens = kept.select("centre", F.explode("first").alias("token"), "member", "n", "comp")
+    other = tokens.select("centre", "token", *[F.col(c).alias(f"o_{c}") for c in ("member", "n", "comp")])
+    sizes = 100 * F.least("n", "o_n") >= percent * F.greatest("n", "o_n")
+    by_rare = tokens.join(other, ["centre", "token"]).where((F.col("member") < F.col("o_member")) & (F.col("comp") != F.col("o_comp")) & sizes)
+    # By common ones: members outside the centre's component, against all whose sizes leave room on both sides.
+    tokens = kept.select("centre", F.explode("then").alias("token"), "member", "n", "comp", "home", "least", "room")
+    other = tokens.where("comp <> home and room >= least").select("centre", "token", *[F.col(c).alias(f"o_{c}") for c in ("member", "n", "comp", "room")])
+    fits = (F.col("o_comp") != F.col("comp")) & (F.col("n") <= F.col("o_room")) & (F.col("o_n") <= F.col("room")) & sizes
+    by_common = tokens.join(other, ["centre", "token"]).where(fits)
+    first = F.col("member") < F.col("o_member")
+    pick = lambda a, b: F.when(first, F.col(a)).otherwise(F.col(b))
+    ends = [pick("member", "o_member").alias("centre"), pick("o_member", "member").alias("member"), pick("o_n", "n").alias("n"), pick("comp", "o_comp").alias("cc"), pick("o_comp", "comp").alias("cm")]
+    pairs = by_rare.select(*ends).unionAll(by_common.select(*ends)).distinct()
+    return ws.stage(pairs.withColumn("more", F.lit(False)), "rest-pairs")
+
+
+def _merge(ws: Workspace, labels: DataFrame, found: DataFrame) -> DataFrame:
+    links = ws.stage(found.where("ok and cc <> cm").select(F.col("cc").alias("src"), F.col("cm").alias("dst")).distinct(), "links")
+    return labels if links.isEmpty() else _relabel(ws, labels, links)
+
+
+def _relabel(ws: Workspace, labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after merging the components that ``links`` connect."""
+    merged = ws.stage(connected_components(links).select(F.col("node").alias("comp"), F.col("component").alias("into")), "merged")
+    moved = labels.join(merged, "comp", "left").select("rep", F.coalesce("into", "comp").alias("comp"))
+    return ws.stage(moved, "labels")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:

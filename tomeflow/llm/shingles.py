@@ -10,7 +10,7 @@ import numpy as np
 import xxhash
 
 SIZE = 5
-WORD_TABLE = 400_000
+WORD_TABLE = 250_000
 
 _ODD = np.random.default_rng(20240611).integers(1 << 62, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
