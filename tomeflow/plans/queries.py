@@ -34,8 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def seconds(c: str) -> Column:
-    """Epoch seconds of a timestamp without a zone."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c).cast("timestamp_ntz"))
+    """Epoch seconds of a timestamp without a zone, whatever the session's zone."""
+    t = F.col(c).cast("timestamp_ntz")
+    days = F.date_diff(t, F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
 
 
 def reading(spark: SparkSession, sf_dir: str) -> DataFrame:
