@@ -84,6 +84,13 @@ def test_repeated_and_null_identifiers(spark):
     assert sorted(r.doc_id or 0 for r in drop_near_copies(docs).collect()) == [0, 1, 4]
 
 
+def test_null_identifiers_in_buckets(spark):
+    base = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join(base)), (5, " ".join(base + ["x"])), (2**63 - 1, " ".join(["y"] + base)), (7, " ".join(base[:30]))]
+    got = {(r.id, r.component_id) for r in near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(None, None), (5, None), (2**63 - 1, None), (7, 7)}
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_components(docs).count() == 0
