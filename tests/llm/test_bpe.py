@@ -19,7 +19,7 @@ def library():
 
 def texts():
     rng = random.Random(5)
-    out = ["", " ", "\n\n \t x", "a" * 5000, "don't we'll IT'S", "<|endoftext|>", "naïve Straße ñandú 日本語 🎉👩‍👩‍👧", "\x00\x01\x1c\x1f\x85  　 z"]
+    out = ["", " ", "  a", "a ", "a  b", "a   b", "a\n \nb", "a \n b", "a\n b", "\n", "  ", " a\x1c b", "a\u3000 b", "x " * 50 + " \t ", "\n\n \t x", "a" * 5000, "don't we'll IT'S", "<|endoftext|>", "naïve Straße ñandú 日本語 🎉👩‍👩‍👧", "\x00\x01\x1c\x1f\x85  　 z"]
     for _ in range(400):
         pool = rng.choice(["abcde ", "äöüßñé ", "0123456789.,$%& ", "\t\n\r   　", "漢字かな交じり", "🎉🧵"])
         out.append("".join(rng.choice(pool + "the on ") for _ in range(rng.randrange(60))))
@@ -47,14 +47,25 @@ def test_every_token_as_a_text(library):
 
 
 def test_a_full_cache_is_emptied(library, monkeypatch):
-    import tomeflow.llm.bpe as bpe
+    from tomeflow.llm import bpe, pretokens
 
-    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 5)
+    monkeypatch.setattr(pretokens, "ENTRIES", 5)
     c = bpe.Codec(VOCAB, P.PATTERN)
     for t in texts()[:200]:
         assert c.encode(t) == library.encode_ordinary(t)
 
 
+def test_other_patterns_are_not_cut_at_spaces():
+    pattern = r"\w+ \w+|\s|."
+    other = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(VOCAB), special_tokens={})
+    from tomeflow.llm.bpe import Codec
+
+    c = Codec(VOCAB, pattern)
+    for t in texts()[:100]:
+        if "\x85" not in t:
+            assert c.encode(t.replace("\n", "")) == other.encode_ordinary(t.replace("\n", ""))
+
+
 def test_operator_and_edge_rows(spark, library):
     rows = [(1, None, "x"), (1, None, "x"), (2, "", "y"), (None, "the thing", "z"), (3, "word " * 30000, "q")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")

@@ -8,8 +8,8 @@ rank, as rank-based byte-level BPE does.  A pre-token that is a token as a whole
 is that token, whether or not merges lead to it.  Decoding maps every id back to
 its bytes.
 
-Work is per row: no shuffle, one Arrow batch in memory, and a pre-token cache of
-bounded size in each Python worker.
+Work is per row: no shuffle, one Arrow batch in memory, and a table of bounded size
+of words and their ids in each Python worker (see ``pretokens``).
 
 Defined results: a null text counts as empty and has no ids; texts of any length
 are encoded whole; repeated rows and null identifiers pass through; an empty table
@@ -24,12 +24,13 @@ import hashlib
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CACHE_ENTRIES = 200_000
-CACHED_CHARS = 64
+from tomeflow.llm import pretokens
+from tomeflow.llm.batches import small_batches
 
 
 def byte_alphabet() -> list[str]:
@@ -94,31 +95,38 @@ class Codec:
         self.decimal = [str(i) for i in range(len(self.tokens))]
         self.model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(self.ranks))
         self.find = regex.compile(pattern).findall
-        self.alphabet = {b: c for b, c in enumerate(byte_alphabet())}
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.alphabet = dict(enumerate(byte_alphabet()))
+        self.pieces = pretokens.PieceEncoder(self._encode_strings, "<u4") if pattern == pretokens.WORD_SPACE_PATTERN else None
 
-    def _merge(self, pre_tokens: list[str]) -> list[tuple[int, ...]]:
-        """Ids of distinct pre-tokens."""
+    def _merge(self, pre_tokens: list[str]) -> list[list[int]]:
+        """Ids of pre-tokens: the token that a pre-token is as a whole, else sentencepiece's merges."""
         raw = [p.encode() for p in pre_tokens]
-        whole = [self.ranks.get(r) for r in raw]
+        whole = list(map(self.ranks.get, raw))
         rest = [r.decode("latin-1").translate(self.alphabet) for r, w in zip(raw, whole) if w is None]
         merged = iter(self.model.encode(rest, num_threads=1) if rest else ())
-        return [(w,) if w is not None else tuple(i - 1 for i in next(merged)) for w in whole]
+        return [[w] if w is not None else [i - 1 for i in next(merged)] for w in whole]
+
+    def _encode_strings(self, strings: list[str]) -> list[bytes]:
+        found: dict[int, bytes] = {}
+        if self.pieces:  # many short strings: they are split and merged as lines of one text
+            at, text, counts = pretokens.as_lines(strings)
+            if at:
+                ids = np.array([i for merged in self._merge(self.find(text)) for i in merged], "<u4")
+                found = pretokens.split_lines(at, counts, ids, self.ranks[b"\n"]) or {}
+        for k, s in enumerate(strings):
+            if k not in found:
+                found[k] = np.array([i for merged in self._merge(self.find(s)) for i in merged], "<u4").tobytes()
+        return [found[k] for k in range(len(strings))]
+
+    def encode_many(self, texts: pa.Array | list[str]) -> Iterator[list[int]]:
+        """Ids of each text; null counts as empty."""
+        if self.pieces:
+            return (ids.tolist() for ids in self.pieces.many(texts))
+        plain = texts.to_pylist() if isinstance(texts, pa.Array) else texts
+        return (np.frombuffer(self._encode_strings([t or ""])[0], "<u4").tolist() for t in plain)
 
     def encode(self, text: str) -> list[int]:
-        found = self.find(text)
-        cache = self.cache
-        if new := [p for p in {*found} if p not in cache]:
-            if len(cache) > CACHE_ENTRIES:
-                cache.clear()
-                new = [*{*found}]
-            for p, ids in zip(new, self._merge(new)):
-                cache[p] = ids
-        ids = [i for p in found for i in cache[p]]
-        for p in new:
-            if len(p) > CACHED_CHARS:
-                del cache[p]
-        return ids
+        return next(self.encode_many([text]))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -134,11 +142,13 @@ def encode_texts(docs: DataFrame, vocab: str, pattern: str, text_col: str = "tex
     from pyspark.sql.pandas.functions import arrow_udf
     from pyspark.sql.types import ArrayType, IntegerType
 
+    small_batches(docs.sparkSession)
+
     @arrow_udf(ArrayType(IntegerType()))
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         c = codec(vocab, pattern)
         for texts in batches:
-            yield pa.array([c.encode(t or "") for t in texts.to_pylist()], pa.list_(pa.int32()))
+            yield pa.array(list(c.encode_many(texts)), pa.list_(pa.int32()))
 
     return docs.withColumn(ids_col, ids(F.col(text_col)))
 
@@ -162,12 +172,13 @@ def roundtrip_digests(docs: DataFrame, vocab: str, pattern: str, id_col: str = "
     schema = f"{id_col} {docs.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     id_type = docs.select(id_col).schema
 
+    small_batches(docs.sparkSession)
+
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocab, pattern)
         for batch in batches:
             counts, id_hash, text_hash = [], [], []
-            for value in batch.column(1):  # one text at a time as Python objects
-                ids = c.encode(value.as_py() or "")
+            for ids in c.encode_many(batch.column(1)):
                 counts.append(len(ids))
                 id_hash.append(hashlib.sha256(",".join(map(c.decimal.__getitem__, ids)).encode()).hexdigest())
                 text_hash.append(hashlib.sha256(c.decode(ids)).hexdigest())

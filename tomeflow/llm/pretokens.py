@@ -2,67 +2,123 @@
 
 Under the common byte-level pattern a space between two characters that are not
 white space always opens a pre-token, so the text on either side of it can be
-encoded alone.  A text is cut there and every distinct piece encoded once per
-worker; the piece table is bounded.  Other white space, and any doubt about it, stays
-inside a piece, so the library's own pattern still decides.
+encoded alone.  Texts are cut there by Arrow's kernels, the distinct pieces of some
+texts looked up or encoded once, and the ids of all pieces gathered in numpy; the
+piece table of a worker is bounded.  A text with any other space (doubled, at an end,
+beside a line break) is encoded whole, so the library's own pattern decides.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: The split pattern for which cutting at word spaces is right (a fixed value of the vocabulary files).
 WORD_SPACE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-ENTRIES = 600_000
+ENTRIES = 1_000_000
 PIECE_CHARS = 48
+GROUP_BYTES = 3_000_000
 
 
-def _plain(piece: str) -> bool:
+def is_plain(piece: str) -> bool:
     """Whether both ends of a piece are characters other than white space (str.isspace covers more than the pattern's)."""
     return piece != "" and not piece[0].isspace() and not piece[-1].isspace()
 
 
-def cut(text: str) -> list[str]:
-    """Pieces of a text; all but the first are preceded by a space that is not part of them."""
-    out: list[str] = []
-    current, *rest = text.split(" ")
-    for piece in rest:
-        if current != "" and not current[-1].isspace() and piece != "" and not piece[0].isspace():
-            out.append(current)
-            current = piece
-        else:
-            current = f"{current} {piece}"
-    out.append(current)
-    return out
+def as_lines(strings: list[str]) -> tuple[list[int], str, list[int]]:
+    """Strings that can be lines of one text: their places, the text, and how many lines each has.
+
+    In that text every line break is a pre-token of its own: no other white space is beside it but
+    the one space that a line may begin with.
+    """
+    at = [k for k, s in enumerate(strings) if not s[-1].isspace() and not (s[1] if s[0] == " " and len(s) > 1 else s[0]).isspace()]
+    chosen = [strings[k] for k in at]
+    text = "\n".join(chosen)
+    odd = "\n\n" in text or "\n \n" in text or not text.isascii() or "\t" in text or "\r" in text or "\v" in text or "\f" in text
+    if odd and _ODD_BREAK.search(text):
+        at = [k for k in at if not _ODD_BREAK.search(strings[k])]
+        chosen = [strings[k] for k in at]
+        text = "\n".join(chosen)
+    return at, text, [s.count("\n") + 1 for s in chosen]
+
+
+#: White space beside a line break, but for one space before a word.
+_ODD_BREAK = re.compile(r"\s\n|\n[^\S ]|\n \s")
+
+
+def split_lines(at: list[int], counts: list[int], ids: np.ndarray, line_break: int) -> dict[int, bytes] | None:
+    """The ids of each string, given those of the text of all lines; None if the breaks do not add up."""
+    ends = np.flatnonzero(ids == line_break)
+    if len(ends) != sum(counts) - 1:
+        return None
+    raw, width = ids.tobytes(), ids.dtype.itemsize
+    last = np.cumsum(counts)[:-1] - 1
+    stops = [*(ends[last] * width).tolist(), len(raw)]
+    begins = [0, *(stop + width for stop in stops[:-1])]
+    return {k: raw[b:e] for k, b, e in zip(at, begins, stops)}
 
 
 class PieceEncoder:
-    """Ids of texts through ``encode``, which gives the ids of each of a list of strings."""
+    """Ids of texts through ``encode``, which gives the ids of each of a list of strings, as bytes of ``dtype``."""
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], dtype: str):
-        self.encode_strings, self.dtype = encode, dtype
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], dtype: str):
+        self.encode, self.dtype = encode, np.dtype(dtype)
         self.table: dict[str, bytes] = {}
 
-    def _encode(self, strings: list[str]) -> list[bytes]:
-        return [np.asarray(ids, self.dtype).tobytes() for ids in self.encode_strings(strings)]
-
-    def ids(self, text: str) -> np.ndarray:
-        head, *rest = text.split(" ")
-        parts = list(map(self.table.get, rest))
-        fits = head == "" or not head[-1].isspace()
-        if not fits or None in parts:
-            new = {p for p, known in zip(rest, parts) if known is None}
-            if not fits or not all(map(_plain, new)):
-                head, *rest = cut(text)
-                parts = list(map(self.table.get, rest))
-                new = {p for p, known in zip(rest, parts) if known is None}
-            found = dict(zip(new, self._encode([" " + p for p in new])))
-            parts = [found[p] if known is None else known for p, known in zip(rest, parts)]
-            if len(self.table) + len(found) > ENTRIES:
-                self.table.clear()
-            self.table.update((p, ids) for p, ids in found.items() if len(p) <= PIECE_CHARS and _plain(p))
-        first = self._encode([head]) if head else []
-        return np.frombuffer(b"".join(first + parts), self.dtype)
+    def _group(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        cut = pc.split_pattern(texts, " ")
+        offsets = cut.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        coded = cut.flatten().dictionary_encode()
+        pieces, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        # The first piece of a text has no space before it: it is a string of its own, after the other pieces.
+        first = at[offsets[:-1]]
+        opening = np.unique(first)
+        at[offsets[:-1]] = len(pieces) + np.searchsorted(opening, first)
+        heads = [pieces[k] for k in opening]
+        inner = np.zeros(len(pieces) + len(heads), bool)
+        inner[at] = True
+        table = self.table
+        known: list[bytes | None] = list(map(table.get, pieces))
+        unknown = [k for k, b in enumerate(known) if b is None]
+        # Pieces that are not plain make their texts odd; of a head only the end matters, and an empty one is no piece at all.
+        odd = [k for k in unknown if inner[k] and not (pieces[k].isalpha() or is_plain(pieces[k]))]
+        odd += [len(pieces) + k for k, h in enumerate(heads) if h and h[-1].isspace()]
+        strange = np.zeros(len(inner), bool)
+        strange[odd] = True
+        is_odd = np.add.reduceat(strange[at], offsets[:-1]) > 0 if odd else np.zeros(len(texts), bool)
+        new = [k for k in unknown if inner[k] and not strange[k]]
+        whole = texts.filter(pa.array(is_odd)).to_pylist() if odd else []
+        wanted = [k for k, h in enumerate(heads) if h and not strange[len(pieces) + k]]
+        ids = self.encode([" " + pieces[k] for k in new] + [heads[k] for k in wanted] + whole)
+        for k, b in zip(new, ids):
+            known[k] = b
+        opened: list[bytes] = [b""] * len(heads)
+        for k, b in zip(wanted, ids[len(new) :]):
+            opened[k] = b
+        if len(table) + len(new) > ENTRIES:
+            table.clear()
+        table.update([(pieces[k], known[k]) for k in new if len(pieces[k]) <= PIECE_CHARS])
+        parts = [b or b"" for b in known] + opened
+        flat = np.frombuffer(b"".join(parts), self.dtype)
+        length = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
+        start = np.cumsum(length) - length
+        size = length[at]
+        end = np.cumsum(size)
+        out = flat[np.repeat(start[at] - (end - size), size) + np.arange(int(size.sum()))]
+        edge = np.concatenate(([0], end))[offsets]
+        rest = iter(ids[len(new) + len(wanted) :])
+        for k in range(len(texts)):
+            yield np.frombuffer(next(rest), self.dtype) if is_odd[k] else out[edge[k] : edge[k + 1]]
+
+    def many(self, texts: pa.Array | list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text, null as empty, worked off in groups of bounded size."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        group = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // GROUP_BYTES
+        for part in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(group)) + 1) if len(texts) else ():
+            yield from self._group(texts.slice(int(part[0]), len(part)))
