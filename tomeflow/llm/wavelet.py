@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tomeflow.llm import pretokens
+from tomeflow.llm.batches import small_batches
+from tomeflow.llm.bpe import byte_alphabet
 from tomeflow.workspace import Workspace
 
 MAGIC = b"TFWM1"
@@ -178,27 +180,18 @@ def _library(path: str):
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    import regex
+    from tokenizers import Tokenizer, pre_tokenizers
 
     library = Tokenizer.from_file(path)
     library.encode_special_tokens = True  # their strings in a text are ordinary text
     run = functools.partial(library.encode_batch_fast, add_special_tokens=False)
-    newline = run(["\n"])[0].ids
-
-    def encode(strings: list[str]) -> list:
-        # Words that begin with a space are encoded as lines of one text; a newline between them is a token of its own.
-        lines = [k for k, s in enumerate(strings) if s[0] == " " and len(s) > 1 and not s[1].isspace() and not s[-1].isspace() and "\n" not in s]
-        out: list = [None] * len(strings)
-        if len(newline) == 1 and len(lines) > 1:
-            ids = np.array(run(["\n".join(strings[k] for k in lines)])[0].ids, np.uint32)
-            ends = np.flatnonzero(ids == newline[0])
-            if len(ends) == len(lines) - 1:
-                for k, part in zip(lines, np.split(ids, ends)):
-                    out[k] = part[1:] if k != lines[0] else part
-        rest = [k for k, x in enumerate(out) if x is None]
-        for k, e in zip(rest, run([strings[k] for k in rest]) if rest else ()):
-            out[k] = e.ids
-        return out
+    # The same tokenizer for pre-tokens that are given one by one, their bytes mapped: its pattern has nothing left to do.
+    by_word = Tokenizer.from_file(path)
+    by_word.encode_special_tokens = True
+    by_word.pre_tokenizer = pre_tokenizers.Sequence([])
+    mapping = dict(enumerate(byte_alphabet()))
+    end_id = run(["\n"])[0].ids
 
     whole = json.loads(library.to_str())
     split = whole.get("pre_tokenizer") or {}
@@ -206,10 +199,27 @@ def _library(path: str):
     cuttable = whole.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
     size = library.get_vocab_size()
     dtype = "<u2" if size <= 1 << 16 else "<u4"
-    levels = max(1, (size - 1).bit_length())
-    if cuttable:
-        return pretokens.PieceEncoder(encode, dtype).ids, dtype, levels
-    return (lambda text: np.array(run([text])[0].ids, dtype)), dtype, levels
+    find = regex.compile(pretokens.WORD_SPACE_PATTERN).findall
+
+    def encode(strings: list[str]) -> list[bytes]:
+        # Latin strings, on whose letters all Unicode versions agree, are split here and given as pre-tokens of one text.
+        found: dict[int, bytes] = {}
+        latin = [k for k, s in enumerate(strings) if max(s) < "\u0250"]
+        at, text, counts = pretokens.as_lines([strings[k] for k in latin])
+        if at and len(end_id) == 1:
+            mapped = "\0".join(find(text)).encode().decode("latin-1").translate(mapping).split(mapping[0])
+            if "\0" not in text:
+                ids = np.array(by_word.encode_batch_fast([mapped], is_pretokenized=True, add_special_tokens=False)[0].ids, dtype)
+                found = pretokens.split_lines([latin[k] for k in at], counts, ids, end_id[0]) or {}
+        rest = [k for k in range(len(strings)) if k not in found]
+        for k, e in zip(rest, run([strings[k] for k in rest]) if rest else ()):
+            found[k] = np.array(e.ids, dtype).tobytes()
+        return [found[k] for k in range(len(strings))]
+
+    def whole_texts(texts: pa.Array | list[str]) -> Iterator[np.ndarray]:
+        return (np.array(run([t or ""])[0].ids, dtype) for t in (texts.to_pylist() if isinstance(texts, pa.Array) else texts))
+
+    return pretokens.PieceEncoder(encode, dtype).many if cuttable else whole_texts, dtype, max(1, (size - 1).bit_length())
 
 
 def _filesystem(uri: str):
@@ -229,16 +239,17 @@ def _write_shards(folder: str, vocab: str, end_id: int):
         end = np.array([end_id], dtype)
         ids: list[int | None] = []
         parts: list[np.ndarray] = []
+        lengths: list[int] = []
         for batch in batches:
             ids += batch.column(0).to_pylist()
-            for text in batch.column(1):
-                parts.append(np.concatenate((encode(text.as_py() or ""), end)))
+            for tokens in encode(batch.column(1)):
+                parts += (tokens, end)
+                lengths.append(len(tokens) + 1)
         if not ids:
             return
-        lengths = np.array([len(p) for p in parts])
         tokens = np.concatenate(parts)
         del parts
-        raw = to_bytes(WaveletMatrix.build(tokens, levels), ids, lengths)
+        raw = to_bytes(WaveletMatrix.build(tokens, levels), ids, np.array(lengths))
         task = TaskContext.get()
         target = f"{folder}/shard-{task.partitionId():08d}-{task.taskAttemptId()}.twm"
         store, path = _filesystem(target)
@@ -255,6 +266,7 @@ def _write_shards(folder: str, vocab: str, end_id: int):
 def write_shards(docs: DataFrame, vocab: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write the shards in ascending order of identifiers; returns the manifest, with ``start`` (ids of all shards before)."""
     spark = docs.sparkSession
+    small_batches(spark)
     ws = Workspace(spark, "wavelet")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
