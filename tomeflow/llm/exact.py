@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tomeflow.llm.joins import id_side
 from tomeflow.workspace import Workspace
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -92,29 +93,33 @@ class DigestIndex:
 def _verified(index: DigestIndex, docs: DataFrame, compacted: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
     """Rows whose bytes differ from those of their digest's keeper, regrouped by text; None if there are none.
 
-    Only documents of hit digests pass the first join, so the second one moves the texts of copies alone.
+    Only documents of hit digests pass the first join, so that the second one moves the texts of copies alone.
     """
     ws = index.ws
-    hit_ids = index.entries().join(compacted.select("digest"), "digest", "left_semi").select("id").distinct()
+    hit_ids = ws.stage(index.entries().join(compacted.select("digest"), "digest", "left_semi").select("id").distinct(), "hits")
     folded = fold_ascii(F.col("_tf_text"))
     texts = (
         docs.select(F.col(id_col).cast("long").alias("_tf_id"), F.col(text_col).alias("_tf_text"))
-        .join(hit_ids, F.col("_tf_id").eqNullSafe(F.col("id")), "left_semi")
+        .join(id_side(hit_ids), F.col("_tf_id").eqNullSafe(F.col("id")), "left_semi")
         .select(F.col("_tf_id").alias("id"), folded.alias("text"))
         .withColumn("digest", index.digest(F.col("text")))
     )
     texts = ws.stage(texts, "hit-texts")
     keepers = (
-        texts.join(compacted.select("digest", "keep_id"), "digest")
-        .where(F.col("id").eqNullSafe(F.col("keep_id")))
-        .groupBy("digest")
-        .agg(F.first("text").alias("keep_text"))
+        texts.join(
+            compacted.select("keep_id", F.col("digest").alias("keep_digest")),
+            F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("keep_digest")),
+        )
+        .select("digest", F.col("text").alias("keep_text"))
+        .dropDuplicates(["digest"])
     )
-    wrong = texts.join(keepers, "digest").where("text <> keep_text").select("digest").distinct()
-    wrong = ws.stage(wrong, "collisions")
+    keepers = ws.stage(keepers, "keepers")  # written, so that the join below can split a digest of very many rows
+    wrong = ws.stage(texts.join(keepers, "digest").where("text <> keep_text").select("digest"), "collisions")
     if wrong.isEmpty():
-        ws.drop(texts, wrong)
+        ws.drop(texts, keepers, wrong)
         return None
+    if index.digest_bits == 256:
+        raise ValueError("two different texts have one SHA-256; nothing was dropped")
     pick = F.max if index.keep == "largest" else F.min
     clash = texts.join(wrong, "digest", "left_semi").select("id", F.sha2("text", 256).alias("sha"), "text", "digest")
     return ws.stage(
@@ -182,7 +187,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         # An identifier has one row here, unless texts of one identifier differ: the digest tells them apart.
         shared = lost.groupBy("_tf_id").count().where("count > 1").isEmpty()
         if shared and docs.groupBy(id_col).count().where("count > 1").isEmpty():
-            return docs.join(lost.select("_tf_id"), docs[id_col].cast("long").eqNullSafe(F.col("_tf_id")), "left_anti")
+            return docs.join(id_side(lost.select("_tf_id")), docs[id_col].cast("long").eqNullSafe(F.col("_tf_id")), "left_anti")
     tagged = docs.withColumn("_tf_hash", F.unhex(F.sha2(fold_ascii(F.col(text_col)), 256)))
     left = tagged.join(
         lost,

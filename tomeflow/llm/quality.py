@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomeflow.llm.batches import small_batches
+from tomeflow.llm.joins import id_side
 from tomeflow.workspace import Workspace
 
 FOURIER = 320
@@ -305,8 +306,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     from pyspark.sql.pandas.functions import arrow_udf
     from pyspark.sql.types import BooleanType
 
-    known = labels.select(F.col(id_col).alias("_tf_id")).distinct()
-    labelled = docs.join(known, docs[id_col] == F.col("_tf_id"), "left_semi")
+    known = Workspace(docs.sparkSession, "quality").stage(labels.select(F.col(id_col).alias("_tf_id")).distinct(), "labelled")
+    labelled = docs.join(id_side(known), docs[id_col] == F.col("_tf_id"), "left_semi")
     classifier = train(document_statistics(labelled, id_col, text_col), labels, id_col)
 
     @arrow_udf(BooleanType())
