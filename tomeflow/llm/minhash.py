@@ -6,8 +6,8 @@
    densification), so small sets are sketched as well as large ones.
 2. Documents of equal sets are one class; only its representative goes on.
 3. A bucket is the set of representatives that share a band key.  Its candidates are
-   a star: the member of the least identifier, most often the original, is the centre
-   and is compared with every other member.  Links merge components.
+   a star: the member that shares most buckets with others, most often the original, is
+   the centre and is compared with every other member.  Links merge components.
 4. Members of one centre that are in different components by then may still be similar
    to each other.  They are dealt by prefix filtering: of two sets of similarity 0.85 in
    any common order, the first |A| - ceil(0.85 |A|) + 1 shingles have one in common.  The
@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from tomeflow.llm import shingles
 from tomeflow.llm.batches import small_batches
+from tomeflow.llm.joins import id_side
 from tomeflow.operators.components import connected_components
 from tomeflow.workspace import Workspace
 
@@ -50,8 +51,6 @@ BINS = ROWS * BANDS
 NULL_ID = -(1 << 63)
 #: A shingle of more members of a group counts as one that the family has in common.
 RARE = 16
-#: So many identifiers of 8 bytes are broadcast at most.
-BROADCAST_IDS = 2_000_000
 
 _rng = np.random.default_rng(77)
 #: RANK[j, b] is the place of bin b in the order in which the empty bin j looks for a filled one.
@@ -164,16 +163,16 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         some.join(classes, ["d1", "d2", "n"], "left").select("id", "n", rep.alias("rep"), F.when(F.col("id") == rep, F.col("keys")).alias("keys")), "members"
     )
     exploded = members.where("keys is not null").select("rep", "n", F.explode("keys").alias("key"))
-    shared = ws.stage(exploded.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "shared")
-    live = ws.stage(exploded.join(shared, "key").select("key", "rep", "n", F.col("rep").alias("comp")), "buckets")
-    reps = live.select("rep").distinct()
-    reps = ws.stage(reps, "candidates")
-    # Up to a checked number of identifiers are sent to the texts, so that only candidates' texts move; beyond it texts are shuffled.
-    wanted = F.broadcast(reps) if reps.count() <= BROADCAST_IDS else reps.hint("merge")
+    shared = ws.stage(exploded.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "shared")
+    live = ws.stage(exploded.join(shared, "key").select("key", "rep", "n", "c"), "shared-rows")
+    # A member's weight is how many others its buckets hold: the original of a family shares most.
+    weights = ws.stage(live.groupBy("rep").agg(F.sum("c").alias("weight")), "weights")
+    live = ws.stage(live.join(weights, "rep").select("key", "rep", "n", "weight", F.col("rep").alias("comp")), "buckets")
+    reps = ws.stage(weights.select("rep"), "candidates")
     texts = ws.stage(
         docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("rep"), F.col(text_col).alias("text"))
         .where("text is not null")
-        .join(wanted, "rep", "left_semi"),
+        .join(id_side(reps), "rep", "left_semi"),
         "candidate-texts",
     )
     # Rows that repeat an identifier with another text are one document: their classes are linked beforehand.
@@ -201,7 +200,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _stars(ws: Workspace, live: DataFrame) -> DataFrame:
     """Pairs of the centre and each other member of every bucket; ``more`` where the bucket has others."""
-    centre = F.min(F.struct("rep", "comp")).alias("c")
+    centre = F.max(F.struct("weight", (F.lit(-1) - F.col("rep")).alias("least"), "rep", "comp")).alias("c")
     centres = live.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), centre)
     centres = ws.stage(centres.where("lo <> hi").select("key", "size", "c"), "centres")
     star = live.join(centres, "key").where(F.col("rep") != F.col("c.rep"))
@@ -271,7 +270,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ws = Workspace(docs.sparkSession, "near-dropped")
     found = near_components(docs, id_col, text_col, percent)
     lost = ws.stage(found.where("not kept").select(F.col("id").alias("_tf_id")).distinct(), "dropped")
-    left = docs.join(lost, docs[id_col].cast("long").eqNullSafe(F.col("_tf_id")), "left_anti")
+    left = docs.join(id_side(lost), docs[id_col].cast("long").eqNullSafe(F.col("_tf_id")), "left_anti")
     unique = docs.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").isEmpty()
     return left if unique else left.dropDuplicates([id_col])
 
