@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 #: The split pattern for which cutting at word spaces is right (a fixed value of the vocabulary files).
 WORD_SPACE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-ENTRIES = 1_000_000
+ENTRIES = 500_000
 PIECE_CHARS = 48
 GROUP_BYTES = 3_000_000
 
