@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
-ROWS = 400
+ROWS_CONF, ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 400
+BYTES_CONF, BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
 def small_batches(spark: SparkSession, rows: int = ROWS) -> None:
-    """Hand texts to Python workers a few hundred rows at a time.
+    """Hand texts to Python workers a few hundred rows and a few MB at a time.
 
-    Spark's default of 10,000 rows is meant for numbers; that many texts, or pairs of texts, take
-    hundreds of MB in the JVM's Arrow buffers and again in the worker.  A smaller setting of the
-    session is left as it is.
+    Spark's defaults, 10,000 rows and 64 MB, are meant for numbers; that many texts, or pairs of
+    texts, are held several times over, in the JVM's Arrow buffers and in the worker.  Smaller
+    settings of the session are left as they are.
     """
     now = int(spark.conf.get(ROWS_CONF))
     if now <= 0 or now > rows:
         spark.conf.set(ROWS_CONF, str(rows))
+    size = spark.conf.get(BYTES_CONF, None)
+    if size is None or int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)) > BYTES:
+        spark.conf.set(BYTES_CONF, str(BYTES))
