@@ -242,25 +242,26 @@ def bucket_count(docs: DataFrame, text_col: str) -> int:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"),
-        F.xxhash64(F.col(text_col)).alias("hash"),
-        F.col(text_col).alias("text"),
-    )
+    """``id, hash, text``; the hash tells rows of one identifier apart and is 0 where no identifier repeats."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
+    unique = docs.groupBy(key.alias("id")).agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    text_hash = F.lit(0).cast("long") if unique else F.xxhash64(F.col(text_col))
+    return docs.select(key.alias("id"), text_hash.alias("hash"), F.col(text_col).alias("text"))
 
 
-def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_runs(keyed: DataFrame) -> DataFrame:
     """``id, hash, runs``: packed (first window, number of windows) of the windows to remove; several rows a document."""
-    small_batches(docs.sparkSession)
-    buckets = bucket_count(docs, text_col)
-    packed = _keyed(docs, id_col, text_col).mapInArrow(_super_kmers(buckets), "bucket long, pack binary, id long, hash long, runs binary")
+    small_batches(keyed.sparkSession)
+    buckets = bucket_count(keyed, "text")
+    packed = keyed.mapInArrow(_super_kmers(buckets), "bucket long, pack binary, id long, hash long, runs binary")
     return packed.groupBy("bucket").applyInArrow(_bucket_runs, "id long, hash long, runs binary")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``id, n_words, n_removed, kept_text`` (kept words joined by one space)."""
-    runs = repeated_runs(docs, id_col, text_col).groupBy("id", "hash").agg(F.collect_list("runs").alias("runs"))
-    both = _keyed(docs, id_col, text_col).join(runs, ["id", "hash"], "left").select("id", "text", "runs")
+    keyed = _keyed(docs, id_col, text_col)
+    runs = repeated_runs(keyed).groupBy("id", "hash").agg(F.collect_list("runs").alias("runs"))
+    both = keyed.join(runs, ["id", "hash"], "left").select("id", "text", "runs")
     out = both.mapInArrow(_cover, "id long, n_words long, n_removed long, kept_text string")
     return out.withColumn("id", F.nullif("id", F.lit(NULL_ID)))
 
