@@ -82,3 +82,26 @@ def test_unknown_words_keep_their_class_when_the_table_is_emptied(monkeypatch):
     words = Words(["the", "of"])
     first = words.tokens("the of zebra yak ant bee").tolist()
     assert words.tokens("the of zebra yak ant bee").tolist() == first and first[:2] == [0, 1] and min(first[2:]) >= lm.FREQUENT
+
+
+def test_rare_words_keep_their_own_counts(spark):
+    rng = np.random.default_rng(2)
+    known = [f"v{i}" for i in range(3000)]
+    rows = [(i, " ".join(["the", "of"] * 40 + [known[j] for j in rng.integers(0, 3000, 120) ** 2 // 3000])) for i in range(60)]
+    net, words = train(spark.createDataFrame(rows, "doc_id long, text string"))
+    counts = {}
+    for _, text in rows:
+        for w in text.split():
+            counts[w] = counts.get(w, 0) + 1
+    others = [w for w in counts if w not in words]
+    assert len(words) == lm.FREQUENT and {counts[w] for w in others} >= {1, 2}
+    texts = ["the " + w for w in others] + ["the zzz"]
+    got = {r.id: r.log_likelihood for r in score_documents(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), net, words).collect()}
+    table, classes = Words(list(words)), lm.VOCABULARY - lm.FREQUENT
+    totals = np.zeros(lm.VOCABULARY)
+    for w in others:
+        totals[table[w.encode()]] += counts[w]
+    for i, text in enumerate(texts):
+        tokens = table.tokens(text)
+        share = counts.get(text[4:], 1 / (len(others) / classes + 1)) / (totals[tokens[1]] + 1)
+        assert got[i] == pytest.approx(net.scores([tokens])[0] + np.log(share), rel=1e-6)

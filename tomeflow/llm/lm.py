@@ -4,35 +4,42 @@ A small network, written in numpy, predicts a token from the two tokens before a
 two after it; a document's score is the sum of the conditional log-probabilities of all
 its tokens, each predicted from both sides.
 
-1. Word counts of the whole corpus give the vocabulary: the most frequent words, and
-   hash classes for all others.
+1. Word counts of the whole corpus, written as a table, give the vocabulary: the most
+   frequent words are tokens, every other word belongs to a token by its hash.
 2. Training: in each of ``ROUNDS`` rounds every partition starts from the shared weights
    and takes gradient steps over its own documents, with one token in ``MASK`` hidden at
    a time (which ones follows from the text alone); the weights are averaged by tokens.
    Sums are added in two levels, so the driver gets ``SUMMED`` fixed-size rows however
    many partitions there are.
-3. Scoring is a pass over the documents with the weights, of fixed size, in hand.
+3. Scoring is a pass over the documents with the weights, of fixed size, in hand, which
+   gives P(token | context).  A word without a token of its own has the probability
+   P(token | context) * P(word | token), the latter its count among those of the token's
+   words: documents' distinct words are joined with the table of counts.  A word that the
+   corpus lacks shares one count with as many words as a token has on average.
 
 The softmax is factored: a token is a class and a place in it, 32 x 32 values.
 
 Defined results: a null or empty text has no tokens, the score 0 and a perplexity of 1;
 texts are scored whole, in blocks of bounded size; repeated rows and null identifiers
-are scored one by one; an empty table gives an empty result; other columns are not read.
+are scored one by one; words are told apart by 64 bits of hash; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomeflow.llm import shingles
 from tomeflow.llm.batches import small_batches
+from tomeflow.workspace import Workspace
 
 CLASSES, PLACES = 32, 32
 VOCABULARY = CLASSES * PLACES
@@ -70,6 +77,26 @@ class Words(dict):
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
+class Vocabulary(list):
+    """The words that are tokens, and the counts of all words of the corpus."""
+
+    def __init__(self, frequent: list[str], counted: DataFrame, totals: np.ndarray, others: int):
+        super().__init__(frequent)
+        self.counted = counted  # word, n; grows with the corpus and stays a table
+        self.totals = totals  # tokens of each hash class
+        self.others = others  # distinct words that are no tokens
+
+
+class Prints(dict):
+    """64-bit hash of each word, that of Spark's ``xxhash64``; emptied when it holds too many."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORD_TABLE:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word, 42)
+        return h
+
+
 def contexts(tokens: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
     """The tokens around each place (or some places), nearest document ends padded."""
     padded = np.concatenate((np.full(SIDE, PAD), tokens, np.full(SIDE, PAD)))
@@ -259,41 +286,63 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"part": pa.array([total.tobytes()], pa.binary())})
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[Network, list[str]]:
-    """The network and the frequent words, from all documents."""
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[Network, Vocabulary]:
+    """The network and the words, from all documents."""
     small_batches(docs.sparkSession)
-    counted = word_counts(docs, text_col)
+    counted = Workspace(docs.sparkSession, "words").stage(word_counts(docs, text_col), "counts")
     # The most frequent words: as many rows as the vocabulary has places.
     top = counted.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    classes = VOCABULARY - FREQUENT
+    totals, others = np.zeros(classes), -len(top)
+    for r in counted.groupBy((F.crc32(F.col("word").cast("binary")) % classes).alias("kind")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
+        totals[r["kind"]] = r["n"]
+        others += r["words"]
+    for r in top:
+        totals[zlib.crc32(r["word"].encode()) % classes] -= r["n"]
     frequent = [r["word"] for r in top]
     counts = np.zeros(VOCABULARY)
     counts[: len(top)] = [r["n"] for r in top]
+    counts[FREQUENT:] = totals
     net = Network.start(counts)
     for turn in range(rounds):
         parts = docs.select(text_col).mapInArrow(_train_partition(net.flat, frequent, turn), "part binary")
         total = sum((np.frombuffer(r["part"]) for r in parts.repartition(SUMMED).mapInArrow(_add, "part binary").collect()), np.zeros(Network.SIZE + 1))
         if total[-1] > 0:
             net = Network(total[:-1] / total[-1])
-    return net, frequent
+    return net, Vocabulary(frequent, counted, totals, others)
 
 
-def score_documents(docs: DataFrame, net: Network, frequent: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, net: Network, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_tokens, log_likelihood, perplexity`` of every row."""
     small_batches(docs.sparkSession)
-    flat = net.flat
+    flat, frequent = net.flat, list(vocabulary)
+    # A class has one count more than its words, for words that the corpus lacks.
+    shares = np.concatenate((np.zeros(FREQUENT), -np.log(vocabulary.totals + 1)))
+    unseen = -float(np.log(vocabulary.others / len(vocabulary.totals) + 1))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, words = Network(flat), Words(frequent)
+        network, words, prints = Network(flat), Words(frequent), Prints()
         for batch in batches:
-            tokens = [words.tokens(t.as_py()) for t in batch.column(1)]
-            s = network.scores(tokens)
-            n = np.array([len(t) for t in tokens], np.int64)
+            split = [shingles.split_words(t.as_py()) for t in batch.column(2)]
+            tokens = [np.fromiter(map(words.__getitem__, w), np.int64, len(w)) for w in split]
+            s = network.scores(tokens) + [shares[t].sum() for t in tokens]
+            rare = [t >= FREQUENT for t in tokens]
+            found = [np.unique(np.fromiter(map(prints.__getitem__, itertools.compress(w, r.tolist())), np.uint64, int(r.sum())), return_counts=True) for w, r in zip(split, rare)]
+            edge = pa.array(np.cumsum([0] + [len(h) for h, _ in found]), pa.int32())
+            hashes = np.concatenate([h for h, _ in found] or [np.zeros(0, np.uint64)]).view(np.int64)
+            times = np.concatenate([n for _, n in found] or [np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), pa.array(s), pa.array(np.exp(-s / np.maximum(n, 1)))], ["id", "n_tokens", "log_likelihood", "perplexity"]
+                [batch.column(0), batch.column(1), pa.array([len(t) for t in tokens], pa.int64()), pa.array(s), pa.ListArray.from_arrays(edge, pa.array(hashes)), pa.ListArray.from_arrays(edge, pa.array(times, pa.int64()))],
+                ["key", "id", "n_tokens", "part", "words", "times"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(score, "id long, n_tokens long, log_likelihood double, perplexity double")
+    rows = docs.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    scored = Workspace(docs.sparkSession, "scores").stage(rows.mapInArrow(score, "key long, id long, n_tokens long, part double, words array<long>, times array<long>"), "documents")
+    held = scored.select("key", F.explode(F.arrays_zip("words", "times")).alias("w")).select("key", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+    known = vocabulary.counted.select(F.xxhash64("word").alias("word"), F.log("n").alias("log_n")).groupBy("word").agg(F.max("log_n").alias("log_n"))
+    parts = held.join(known, "word", "left").select("key", F.lit(None).cast("long").alias("id"), F.lit(0).cast("long").alias("n_tokens"), (F.col("times") * F.coalesce("log_n", F.lit(unseen))).alias("part"))
+    whole = scored.select("key", "id", "n_tokens", "part").unionByName(parts).groupBy("key").agg(F.max("id").alias("id"), F.sum("n_tokens").alias("n_tokens"), F.sum("part").alias("log_likelihood")).orderBy("key")
+    return whole.select("id", "n_tokens", "log_likelihood", F.exp(-F.col("log_likelihood") / F.greatest("n_tokens", F.lit(1))).alias("perplexity"))
 
 
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
