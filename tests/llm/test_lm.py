@@ -105,3 +105,12 @@ def test_rare_words_keep_their_own_counts(spark):
         tokens = table.tokens(text)
         share = counts.get(text[4:], 1 / (len(others) / classes + 1)) / (totals[tokens[1]] + 1)
         assert got[i] == pytest.approx(net.scores([tokens])[0] + np.log(share), rel=1e-6)
+
+
+def test_every_token_is_a_target_once():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 3, 16, 333):
+        tokens = rng.integers(0, lm.VOCABULARY, n)
+        for rounds in (1, lm.ROUNDS, 6):
+            places = np.concatenate([lm.hidden_places(tokens, turn, rounds) for turn in range(rounds)])
+            assert sorted(places.tolist()) == list(range(n))

@@ -7,8 +7,9 @@ its tokens, each predicted from both sides.
 1. Word counts of the whole corpus, written as a table, give the vocabulary: the most
    frequent words are tokens, every other word belongs to a token by its hash.
 2. Training: in each of ``ROUNDS`` rounds every partition starts from the shared weights
-   and takes gradient steps over its own documents, with one token in ``MASK`` hidden at
-   a time (which ones follows from the text alone); the weights are averaged by tokens.
+   and takes gradient steps over its own documents, with every ``ROUNDS``-th token hidden
+   (which ones follows from the text and the round), so that over the rounds every token
+   of the corpus is predicted once; the weights are averaged by tokens.
    Sums are added in two levels, so the driver gets ``SUMMED`` fixed-size rows however
    many partitions there are.
 3. Scoring is a pass over the documents with the weights, of fixed size, in hand, which
@@ -47,7 +48,6 @@ FREQUENT = 768  # the rest of the vocabulary are hash classes
 SIDE = 2
 PAD = VOCABULARY
 EMBEDDING, HIDDEN = 8, 24
-MASK = 16
 ROUNDS = 2
 STEP = 512
 RATE = 0.08
@@ -148,41 +148,56 @@ class Network:
         z /= z.sum(axis=1, keepdims=True)
         return z
 
-    def _by_class(self, target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    def _by_class(self, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """Rows in the order of their classes, and ``(class, from, to)``."""
         kind = target // PLACES
         order = np.argsort(kind, kind="stable")
-        edge = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            if edge[c] < edge[c + 1]:
-                yield c, order[edge[c] : edge[c + 1]]
+        edge = np.searchsorted(kind[order], np.arange(CLASSES + 1)).tolist()
+        return order, [(c, a, b) for c, (a, b) in enumerate(zip(edge, edge[1:])) if a < b]
+
+    def _places(self, h: np.ndarray, kind: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
+        """Probabilities of the places within each row's class; rows are in the order of their classes."""
+        z = self.parts[6][kind]
+        for c, a, b in spans:
+            z[a:b] += h[a:b] @ self.parts[5][c]
+        return self._softmax(z)
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         _, h = self._hidden(context)
         row = np.arange(len(target))
         out = np.log(self._softmax(h @ self.parts[3] + self.parts[4])[row, target // PLACES])
-        for c, rows in self._by_class(target):
-            p = self._softmax(h[rows] @ self.parts[5][c] + self.parts[6][c])
-            out[rows] += np.log(p[np.arange(len(rows)), target[rows] % PLACES])
+        order, spans = self._by_class(target)
+        sorted_target = target[order]
+        out[order] += np.log(self._places(h[order], sorted_target // PLACES, spans)[row, sorted_target % PLACES])
         return out
 
     def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Mean gradient of the log-probability."""
         grad = Network(np.zeros(self.SIZE, np.float32))
         n = len(target)
+        row = np.arange(n)
+        order, spans = self._by_class(target)
+        context, target = context[order], target[order]
+        kind = target // PLACES
         x, h = self._hidden(context)
         d = -self._softmax(h @ self.parts[3] + self.parts[4])
-        d[np.arange(n), target // PLACES] += 1
+        d[row, kind] += 1
         grad.parts[3][:], grad.parts[4][:] = h.T @ d, d.sum(axis=0)
         dh = d @ self.parts[3].T
-        for c, rows in self._by_class(target):
-            e = -self._softmax(h[rows] @ self.parts[5][c] + self.parts[6][c])
-            e[np.arange(len(rows)), target[rows] % PLACES] += 1
-            grad.parts[5][c], grad.parts[6][c] = h[rows].T @ e, e.sum(axis=0)
-            dh[rows] += e @ self.parts[5][c].T
+        e = -self._places(h, kind, spans)
+        e[row, target % PLACES] += 1
+        for c, a, b in spans:
+            grad.parts[5][c] = h[a:b].T @ e[a:b]
+            dh[a:b] += e[a:b] @ self.parts[5][c].T
+        if spans:
+            grad.parts[6][[c for c, _, _ in spans]] = np.add.reduceat(e, [a for _, a, _ in spans], axis=0)
         dz = dh * (1 - h * h)
         grad.parts[1][:], grad.parts[2][:] = x.T @ dz, dz.sum(axis=0)
         dx = (dz @ self.parts[1].T).reshape(-1, EMBEDDING)
-        np.add.at(grad.parts[0], context.ravel(), dx)
+        flat = context.ravel()
+        by_token = np.argsort(flat, kind="stable")
+        held, first = np.unique(flat[by_token], return_index=True)
+        grad.parts[0][held] = np.add.reduceat(dx[by_token], first, axis=0)
         return grad.flat / n
 
     def score(self, tokens: np.ndarray) -> float:
@@ -243,7 +258,12 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(text_col).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _train_partition(flat: np.ndarray, frequent: list[str], turn: int):
+def hidden_places(tokens: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """Places to predict in a round; each place is in one round, the text's own hash is the offset."""
+    return np.arange((zlib.crc32(tokens.tobytes()) + turn) % rounds, len(tokens), rounds)
+
+
+def _train_partition(flat: np.ndarray, frequent: list[str], turn: int, rounds: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, words = Network(flat), Words(frequent)
         speed = np.full(Network.SIZE, 1e-3, np.float32)
@@ -259,9 +279,9 @@ def _train_partition(flat: np.ndarray, frequent: list[str], turn: int):
                 tokens = words.tokens(text.as_py())
                 if not len(tokens):
                     continue
-                # The hidden places follow from the text: its own hash is the offset.
-                offset = (zlib.crc32(tokens.tobytes()) + turn * 7) % min(MASK, len(tokens))
-                at = np.arange(offset, len(tokens), MASK)
+                at = hidden_places(tokens, turn, rounds)
+                if not len(at):
+                    continue
                 context.append(contexts(tokens, at))
                 target.append(tokens[at])
                 held += len(at)
@@ -305,7 +325,7 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tupl
     counts[FREQUENT:] = totals
     net = Network.start(counts)
     for turn in range(rounds):
-        parts = docs.select(text_col).mapInArrow(_train_partition(net.flat, frequent, turn), "part binary")
+        parts = docs.select(text_col).mapInArrow(_train_partition(net.flat, frequent, turn, rounds), "part binary")
         total = sum((np.frombuffer(r["part"]) for r in parts.repartition(SUMMED).mapInArrow(_add, "part binary").collect()), np.zeros(Network.SIZE + 1))
         if total[-1] > 0:
             net = Network(total[:-1] / total[-1])
