@@ -66,3 +66,13 @@ def test_canonical_tokens():
     assert slot.tolist() == [0, 2, 0, 1, 4, 0, 1, 4, 1, 0]  # the run of names is one slot, 5km a number and a unit
     same, _, _, _ = canonical("On Friday Bob ran 12 km and 4 kg, 9 apples.")
     assert h.tolist() == same.tolist()
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_occurrences_are_judged_one_by_one(spark, limit):
+    both = CASES[10][0] + " " + CASES[11][0]
+    far = CASES[10][0] + " " + " ".join(f"w{i}" for i in range(500)) + " " + CASES[11][0]
+    docs = spark.createDataFrame([(1, both), (2, far), (3, CASES[14][0])], "doc_id long, text string")
+    twins = spark.createDataFrame([ITEMS[0], (7, CASES[11][0])], "item_id long, text string")
+    assert sorted((r.id, r.item_ids) for r in contaminated(docs, twins, broadcast_bytes=limit).collect()) == [(1, [1, 7]), (2, [1, 7])]
+    assert [r.doc_id for r in drop_contaminated(docs, twins, broadcast_bytes=limit).collect()] == [3]

@@ -9,7 +9,11 @@ window as a whole.  Documents' windows are hash-joined with those of the benchma
 A document holds an item if the join covers at least half of the item's windows and
 the slots agree: wherever the item repeats a value the document repeats the value that
 stands for it (three of four slots at least).  So a question with other numbers and
-names is caught, and a sentence that happens to have the same frame is not.
+names is caught, and a sentence that happens to have the same frame is not.  Both are
+judged for each occurrence by itself, that is the windows at one distance between their
+places in document and item, or at distances that differ by little; one that passes is
+enough.  If none does, the windows of the whole document are judged together, for items
+that it holds in parts.
 
 The benchmark side is broadcast if its texts are within ``BROADCAST_BYTES``, which is
 measured first; then documents are judged where they are read, without a shuffle.
@@ -42,6 +46,7 @@ WINDOW = 8
 LITERALS = 4
 COVERAGE = 0.5
 CONSISTENCY = 0.75
+DRIFT = 3  # tokens put in or left out at one place of an occurrence
 BROADCAST_BYTES = 16 << 20
 WORD_TABLE = 300_000
 
@@ -172,6 +177,38 @@ def consistent(pairs: Counter) -> tuple[bool, bool]:
     return agree >= CONSISTENCY * total, any(a != b for a, b in pairs)
 
 
+def judge(hits: list[tuple[int, int, list[str], list[str]]], total: int) -> tuple[float, bool] | None:
+    """``(coverage, re-parameterised)`` of an item that a document holds; hits are (place in document, place in item, item's values, document's values)."""
+
+    def passes(part: list[int]) -> tuple[float, bool] | None:
+        coverage = len({hits[k][1] for k in part}) / total
+        if coverage < COVERAGE:
+            return None
+        pairs: Counter = Counter()
+        for k in part:
+            pairs.update(zip(hits[k][2], hits[k][3]))
+        agrees, changed = consistent(pairs)
+        return (coverage, changed) if agrees else None
+
+    order = sorted(range(len(hits)), key=lambda k: hits[k][0] - hits[k][1])
+    exact: list[list[int]] = []
+    near: list[list[int]] = []
+    last = None
+    for k in order:
+        distance = hits[k][0] - hits[k][1]
+        if last is None or distance != last:
+            exact.append([])
+            if last is None or distance - last > DRIFT:
+                near.append([])
+        exact[-1].append(k)
+        near[-1].append(k)
+        last = distance
+    found = [x for part in exact + near if (x := passes(part))]
+    if not found and (x := passes(order)):
+        found = [x]
+    return (max(c for c, _ in found), any(x for _, x in found)) if found else None
+
+
 class Index:
     """Template windows of a benchmark."""
 
@@ -197,8 +234,7 @@ class Index:
         if not self.sizes:
             return []
         h, slot, words, at = canonical(text)
-        covered: dict[int, set[int]] = defaultdict(set)
-        pairs: dict[int, Counter] = defaultdict(Counter)
+        hits: dict[int, list] = defaultdict(list)
         for size in self.sizes:
             starts, hashes = template_windows(h, slot, size)
             place = np.searchsorted(self.hashes, hashes)
@@ -206,15 +242,8 @@ class Index:
             for k in hit.tolist():
                 values = slot_values(slot, words, at, starts[k], size)
                 for number, s, mine in self.where[int(hashes[k])]:
-                    covered[number].add(s)
-                    pairs[number].update(zip(mine, values))
-        out = []
-        for number, places in covered.items():
-            coverage = len(places) / self.totals[number]
-            agrees, changed = consistent(pairs[number])
-            if coverage >= COVERAGE and agrees:
-                out.append((self.items[number], coverage, changed))
-        return out
+                    hits[number].append((int(starts[k]), s, mine, values))
+        return [(self.items[number], *held) for number, found in hits.items() if (held := judge(found, self.totals[number]))]
 
 
 FOUND = "id long, item_ids array<long>, coverage double, reparameterised boolean"
@@ -247,7 +276,7 @@ def contaminated(
         return _by_shuffle(rows, benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")))
     shared = spark.sparkContext.broadcast(_index(benchmark, item_col, item_text_col))
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
             out = []
@@ -256,7 +285,7 @@ def contaminated(
                     out.append({"id": doc, "item_ids": sorted(i for i, *_ in found if i is not None), "coverage": max(c for _, c, _ in found), "reparameterised": any(x for *_, x in found)})
             yield pa.RecordBatch.from_pylist(out, _FOUND)
 
-    return rows.mapInArrow(judge, FOUND)
+    return rows.mapInArrow(judge_texts, FOUND)
 
 
 _FOUND = pa.schema([("id", pa.int64()), ("item_ids", pa.list_(pa.int64())), ("coverage", pa.float64()), ("reparameterised", pa.bool_())])
@@ -289,13 +318,9 @@ def _judge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for r in batch.to_pylist():
-            pairs: Counter = Counter()
-            for mine, theirs in zip(r["mine"], r["theirs"]):
-                pairs.update(zip(json.loads(mine), json.loads(theirs)))
-            agrees, changed = consistent(pairs)
-            coverage = r["places"] / r["total"]
-            if agrees and coverage >= COVERAGE:
-                out.append({"key": r["key"], "id": r["id"], "item": r["item"], "coverage": coverage, "changed": changed})
+            hits = [(h["place"], h["at"], json.loads(h["mine"]), json.loads(h["theirs"])) for h in r["hits"]]
+            if held := judge(hits, r["total"]):
+                out.append({"key": r["key"], "id": r["id"], "item": r["item"], "coverage": held[0], "changed": held[1]})
         yield pa.RecordBatch.from_pylist(out, schema)
 
 
@@ -308,13 +333,13 @@ def _by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = ws.stage(docs.select(key, "id", "text").mapInArrow(_window_rows(list(range(1, WINDOW + 1))), WINDOW_ROW).join(items.select("hash").distinct(), "hash", "left_semi"), "windows")
     mine = items.select("hash", F.col("key").alias("item_key"), F.col("id").alias("item"), F.col("place").alias("at"), "total", F.col("slots").alias("mine"))
     pairs = (
-        texts.select("hash", "key", "id", F.col("slots").alias("theirs"))
+        texts.select("hash", "key", "id", "place", F.col("slots").alias("theirs"))
         .join(mine, "hash")
         .groupBy("key", "id", "item_key", "item", "total")
-        .agg(F.count_distinct("at").alias("places"), F.collect_list("mine").alias("mine"), F.collect_list("theirs").alias("theirs"))
+        .agg(F.count_distinct("at").alias("places"), F.collect_list(F.struct("place", "at", "mine", "theirs")).alias("hits"))
         .where(F.col("places") >= COVERAGE * F.col("total"))
     )
-    judged = pairs.select("key", "id", "item", "total", "places", "mine", "theirs").mapInArrow(_judge_pairs, "key long, id long, item long, coverage double, changed boolean")
+    judged = pairs.select("key", "id", "item", "total", "hits").mapInArrow(_judge_pairs, "key long, id long, item long, coverage double, changed boolean")
     return (
         judged.groupBy("key", "id")
         .agg(F.array_sort(F.collect_list("item")).alias("item_ids"), F.max("coverage").alias("coverage"), F.bool_or("changed").alias("reparameterised"))
