@@ -76,3 +76,13 @@ def test_occurrences_are_judged_one_by_one(spark, limit):
     twins = spark.createDataFrame([ITEMS[0], (7, CASES[11][0])], "item_id long, text string")
     assert sorted((r.id, r.item_ids) for r in contaminated(docs, twins, broadcast_bytes=limit).collect()) == [(1, [1, 7]), (2, [1, 7])]
     assert [r.doc_id for r in drop_contaminated(docs, twins, broadcast_bytes=limit).collect()] == [3]
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_changed_names_that_open_sentences(spark, limit):
+    text = "{0} buys twelve red apples at the market today. {0} eats two of them on the way home. {0} gives half of the rest away to friends. How many apples are left?"
+    items = spark.createDataFrame([(1, text.format("Maria"))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "Before that. " + text.format("Bo")), (2, text.format("Anna Berg")), (3, text.format("Maria"))], "doc_id long, text string")
+    got = {r.id: (r.item_ids, r.reparameterised) for r in contaminated(docs, items, broadcast_bytes=limit).collect()}
+    assert got == {1: ([1], True), 2: ([1], True), 3: ([1], False)}
+    assert drop_contaminated(docs, items, broadcast_bytes=limit).count() == 0

@@ -5,6 +5,8 @@ unit after a number a unit slot, a capitalised word (or run of them) within a se
 a name slot; every other word is itself, lower-cased.  Eight consecutive tokens, of
 which at least four are words, are a template window; an item of fewer tokens is one
 window as a whole.  Documents' windows are hash-joined with those of the benchmark.
+A capitalised word that opens a sentence may be a name or not: unless it is a function
+word, texts are typed in both ways, and an item is found by its windows of either.
 
 A document holds an item if the join covers at least half of the item's windows and
 the slots agree: wherever the item repeats a value the document repeats the value that
@@ -30,7 +32,7 @@ from __future__ import annotations
 import json
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,9 +52,10 @@ DRIFT = 3  # tokens put in or left out at one place of an occurrence
 BROADCAST_BYTES = 16 << 20
 WORD_TABLE = 300_000
 
-NUMBER, NAME, UNIT, GLUED, ENDS, SKIP = 1, 2, 4, 8, 16, 32
-FLAGS = 63
-_SLOT = {NUMBER: 0x1111 << 6, NAME: 0x2222 << 6, UNIT: 0x3333 << 6}
+NUMBER, NAME, UNIT, GLUED, ENDS, SKIP, FUNCTION = 1, 2, 4, 8, 16, 32, 64
+FLAG_BITS = 7
+FLAGS = (1 << FLAG_BITS) - 1
+_SLOT = {NUMBER: 0x1111 << FLAG_BITS, NAME: 0x2222 << FLAG_BITS, UNIT: 0x3333 << FLAG_BITS}
 
 UNITS = frozenset(
     "% percent km m cm mm kg g mg lb lbs oz ml l cl ft in mi mph kmh km/h gb mb kb hz w kw v s ms h min "
@@ -64,19 +67,25 @@ NUMBER_WORDS = frozenset(
     "two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty "
     "thirty forty fifty sixty seventy eighty ninety hundred thousand million".split()
 )
+FUNCTION_WORDS = frozenset(
+    "a an the this that these those i you he she it we they my your his her its our their one each every all both some any no none many much most more few several other another such "
+    "who whom whose which what when where why how and or but nor so yet if then than because although though while since until unless as whether "
+    "of in on at by for from to with without into onto over under between among through during before after about against above below near out off up down "
+    "is are was were be been am do does did has have had can could will would shall should may might must not there here now today however therefore thus also only just even".split()
+)
 _DIGITS = re.compile(r"[-+]?[$€£]?\d+(?:[.,:/]\d+)*%?", re.A)
 _WITH_UNIT = re.compile(r"([-+]?\d+(?:[.,]\d+)*)([^\W\d_]+|%)")
 _EDGE = re.compile(r"^[^\w$€£+%-]+|[^\w%]+$")
 
 
 def _typed(word: str) -> int:
-    """A word as 58 bits of hash and its flags."""
+    """A word as 57 bits of hash and its flags."""
     if word.isalpha():  # most words: nothing to strip, no digits
         low = word.lower()
         if low in NUMBER_WORDS:
             return _SLOT[NUMBER] | NUMBER
         name = NAME if word[0].isupper() and (len(word) == 1 or not word[1:].isupper()) else 0
-        return xxhash.xxh64_intdigest(low.encode()) >> 6 << 6 | name | (UNIT if low in UNITS else 0)
+        return xxhash.xxh64_intdigest(low.encode()) >> FLAG_BITS << FLAG_BITS | name | (UNIT if low in UNITS else 0) | (FUNCTION if low in FUNCTION_WORDS else 0)
     ends = ENDS if word.rstrip("\"')]»”’*$#&")[-1:] in (".", "!", "?", ":", "…") else 0
     core = _EDGE.sub("", word)
     if not core or not any(c.isalnum() or c in "%€$£" for c in core):
@@ -86,10 +95,10 @@ def _typed(word: str) -> int:
         return _SLOT[NUMBER] | NUMBER | ends
     if (m := _WITH_UNIT.fullmatch(low)) and m[2] in UNITS:
         return _SLOT[NUMBER] | NUMBER | GLUED | ends
-    h = xxhash.xxh64_intdigest(low.encode()) >> 6 << 6
+    h = xxhash.xxh64_intdigest(low.encode()) >> FLAG_BITS << FLAG_BITS
     unit = UNIT if low in UNITS else 0
     name = NAME if core[0].isupper() and (len(core) == 1 or not core[1:].isupper()) else 0
-    return h | unit | name | ends
+    return h | unit | name | ends | (FUNCTION if low in FUNCTION_WORDS else 0)
 
 
 class _Words(dict):
@@ -103,10 +112,26 @@ class _Words(dict):
 _WORDS = _Words()
 
 
-def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
-    """``(token hashes, slot flags, words, place of each token's word)`` of a text."""
+def canonical(text: str | None, openings: bool = False) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """``(token hashes, slot flags, words, place of each token's word)`` of a text; ``openings``: names may open sentences."""
+    return _canonical(*_typed_words(text), openings)[:4]
+
+
+def _typed_words(text: str | None) -> tuple[list[str], np.ndarray]:
     words = (text or "").split()
-    t = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    return words, np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+
+
+def forms(text: str | None) -> list[tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]]:
+    """A text with sentence openings as words and, where that differs, as names; the last array marks such names."""
+    words, t = _typed_words(text)
+    first = _canonical(words, t, False)
+    if not first[4].any():
+        return [first]
+    return [first, _canonical(words, t, True)]
+
+
+def _canonical(words: list[str], t: np.ndarray, openings: bool) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]:
     at = np.arange(len(words))
     flags = (t & np.uint64(FLAGS)).astype(np.int64)
     opening = np.concatenate(([True], (flags[:-1] & ENDS) > 0)) if len(t) else np.zeros(0, bool)
@@ -121,21 +146,22 @@ def canonical(text: str | None) -> tuple[np.ndarray, np.ndarray, list[str], np.n
     slot = np.where((flags & NUMBER) > 0, NUMBER, 0)
     previous = np.concatenate(([0], slot[:-1])) if len(slot) else slot
     slot = np.where(((flags & UNIT) > 0) & (previous == NUMBER) & (slot == 0), UNIT, slot)
-    slot = np.where(((flags & NAME) > 0) & ~opening & (slot == 0), NAME, slot)
-    h = np.where(slot > 0, np.uint64(0), t >> np.uint64(6) << np.uint64(6))
+    doubtful = opening & ((flags & (NAME | FUNCTION)) == NAME) & (slot == 0)
+    slot = np.where(((flags & NAME) > 0) & (~opening | doubtful & openings) & (slot == 0), NAME, slot)
+    h = np.where(slot > 0, np.uint64(0), t >> np.uint64(FLAG_BITS) << np.uint64(FLAG_BITS))
     for kind, value in _SLOT.items():
         h[slot == kind] = value
     glued = (flags & GLUED) > 0
     keep = np.ones(len(h), bool)
     if len(h):
-        keep[1:] = ~((slot[1:] == NAME) & (slot[:-1] == NAME))  # a run of names is one slot
+        keep[1:] = ~((slot[1:] == NAME) & (slot[:-1] == NAME) & ~opening[1:])  # a run of names in a sentence is one slot
     if glued.any():
         again = 1 + glued
         first = np.repeat(np.cumsum(again) - again, again)
         second = np.arange(int(again.sum())) > first
-        h, slot, at, keep = np.repeat(h, again), np.repeat(slot, again), np.repeat(at, again), np.repeat(keep, again)
+        h, slot, at, keep, doubtful = (np.repeat(x, again) for x in (h, slot, at, keep, doubtful))
         h[second], slot[second] = _SLOT[UNIT], UNIT
-    return h[keep], slot[keep], words, at[keep]
+    return h[keep], slot[keep], words, at[keep], doubtful[keep]
 
 
 def template_windows(h: np.ndarray, slot: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -165,6 +191,33 @@ def window_size(tokens: int) -> int:
     return min(WINDOW, tokens)
 
 
+def item_windows(text: str | None) -> Iterator[tuple[int, int, list[tuple[int, int, list[str]]]]]:
+    """``(form, size, [(hash, place, slot values)])`` for each form of an item that has windows."""
+    for form, (h, slot, words, at, _) in enumerate(forms(text)):
+        if size := window_size(len(h)):
+            starts, hashes = template_windows(h, slot, size)
+            if len(starts):
+                yield form, size, [(int(x), int(s), slot_values(slot, words, at, s, size)) for s, x in zip(starts, hashes)]
+
+
+def document_windows(text: str | None, sizes: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, Callable[[int], list[str]]]]:
+    """``(size, places, hashes, values of the k-th)`` of a document; of the second form only the windows that differ."""
+    places = None
+    for h, slot, words, at, doubtful in forms(text):
+        for size in sizes:
+            starts, hashes = template_windows(h, slot, size)
+            place = starts
+            if places is None:
+                pass
+            elif len(starts):
+                total = np.concatenate(([0], np.cumsum(doubtful)))
+                differs = total[starts + size] > total[starts]
+                starts, hashes = starts[differs], hashes[differs]
+                place = np.searchsorted(places, at[starts])  # as counted in the first form
+            yield size, place, hashes, lambda k, s=starts, z=size, v=(slot, words, at): slot_values(*v, s[k], z)
+        places = at if places is None else places
+
+
 def consistent(pairs: Counter) -> tuple[bool, bool]:
     """Whether slots agree, and whether any value differs; ``pairs`` counts (item value, document value)."""
     total = sum(pairs.values())
@@ -184,26 +237,32 @@ def judge(hits: list[tuple[int, int, list[str], list[str]]], total: int) -> tupl
         coverage = len({hits[k][1] for k in part}) / total
         if coverage < COVERAGE:
             return None
+        # A window that comes with the item's own values and, typed the other way, with others has the former.
+        same = {hits[k][1] for k in part if hits[k][2] == hits[k][3]}
         pairs: Counter = Counter()
         for k in part:
-            pairs.update(zip(hits[k][2], hits[k][3]))
+            if hits[k][1] not in same or hits[k][2] == hits[k][3]:
+                pairs.update(zip(hits[k][2], hits[k][3]))
         agrees, changed = consistent(pairs)
         return (coverage, changed) if agrees else None
 
     order = sorted(range(len(hits)), key=lambda k: hits[k][0] - hits[k][1])
-    exact: list[list[int]] = []
-    near: list[list[int]] = []
+    near: list[list[list[int]]] = []  # distances that differ by little, and the hits of each
     last = None
     for k in order:
         distance = hits[k][0] - hits[k][1]
-        if last is None or distance != last:
-            exact.append([])
-            if last is None or distance - last > DRIFT:
-                near.append([])
-        exact[-1].append(k)
-        near[-1].append(k)
+        if last is None or distance - last > DRIFT:
+            near.append([[]])
+        elif distance != last:
+            near[-1].append([])
+        near[-1][-1].append(k)
         last = distance
-    found = [x for part in exact + near if (x := passes(part))]
+    found = []
+    for group in near:
+        if x := passes([k for part in group for k in part]):
+            found.append(x)
+        else:
+            found += [x for part in group if (x := passes(part))]
     if not found and (x := passes(order)):
         found = [x]
     return (max(c for c, _ in found), any(x for _, x in found)) if found else None
@@ -213,18 +272,15 @@ class Index:
     """Template windows of a benchmark."""
 
     def __init__(self, items: list[tuple[int, str | None]]):
-        self.totals: dict[int, int] = {}
-        self.where: dict[int, list[tuple[int, int, list[str]]]] = defaultdict(list)  # window -> (item, place, slot values)
+        self.entries: list[tuple[int, int]] = []  # item, windows: one entry for each form of an item
+        self.where: dict[int, list[tuple[int, int, list[str]]]] = defaultdict(list)  # window -> (entry, place, slot values)
         sizes = set()
         for number, (_, text) in enumerate(items):
-            h, slot, words, at = canonical(text)
-            size = window_size(len(h))
-            starts, hashes = template_windows(h, slot, size) if size else ((), ())
-            if len(starts):
-                self.totals[number] = len(starts)
+            for _, size, found in item_windows(text):
+                for x, s, values in found:
+                    self.where[x].append((len(self.entries), s, values))
+                self.entries.append((number, len(found)))
                 sizes.add(size)
-                for s, x in zip(starts, hashes):
-                    self.where[int(x)].append((number, int(s), slot_values(slot, words, at, s, size)))
         self.items = [i for i, _ in items]
         self.sizes = sorted(sizes)
         self.hashes = np.sort(np.array([*self.where], np.uint64))
@@ -233,17 +289,21 @@ class Index:
         """``(item, coverage, re-parameterised)`` of the items that a text holds."""
         if not self.sizes:
             return []
-        h, slot, words, at = canonical(text)
         hits: dict[int, list] = defaultdict(list)
-        for size in self.sizes:
-            starts, hashes = template_windows(h, slot, size)
+        for _, places, hashes, values_of in document_windows(text, self.sizes):
             place = np.searchsorted(self.hashes, hashes)
             hit = np.flatnonzero(self.hashes[np.minimum(place, len(self.hashes) - 1)] == hashes)
             for k in hit.tolist():
-                values = slot_values(slot, words, at, starts[k], size)
-                for number, s, mine in self.where[int(hashes[k])]:
-                    hits[number].append((int(starts[k]), s, mine, values))
-        return [(self.items[number], *held) for number, found in hits.items() if (held := judge(found, self.totals[number]))]
+                values = values_of(k)
+                for entry, s, mine in self.where[int(hashes[k])]:
+                    hits[entry].append((int(places[k]), s, mine, values))
+        out: dict[int, tuple[float, bool]] = {}
+        for entry, found in hits.items():
+            number, total = self.entries[entry]
+            if held := judge(found, total):
+                before = out.get(number, (0.0, False))
+                out[number] = max(before[0], held[0]), before[1] or held[1]
+        return [(self.items[number], *held) for number, held in out.items()]
 
 
 FOUND = "id long, item_ids array<long>, coverage double, reparameterised boolean"
@@ -282,7 +342,7 @@ def contaminated(
             out = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if found := index.find(text.as_py()):
-                    out.append({"id": doc, "item_ids": sorted(i for i, *_ in found if i is not None), "coverage": max(c for _, c, _ in found), "reparameterised": any(x for *_, x in found)})
+                    out.append({"id": doc, "item_ids": sorted({i for i, *_ in found if i is not None}), "coverage": max(c for _, c, _ in found), "reparameterised": any(x for *_, x in found)})
             yield pa.RecordBatch.from_pylist(out, _FOUND)
 
     return rows.mapInArrow(judge_texts, FOUND)
@@ -294,21 +354,22 @@ WINDOW_ROW = "hash long, key long, id long, place long, total long, slots string
 
 
 def _window_rows(sizes: list[int] | None):
-    """Windows as rows: of one size for each item (its own), of all sizes for documents."""
+    """Windows as rows: of one size for each form of an item (its own), of all sizes for documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                h, slot, words, at = canonical(text.as_py())
-                for size in sizes or [window_size(len(h))]:
-                    if size:
-                        starts, hashes = template_windows(h, slot, size)
-                        slots = [json.dumps(slot_values(slot, words, at, s, size)) for s in starts]
-                        n = len(starts)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(hashes.view(np.int64)), pa.array([key] * n, pa.int64()), pa.array([doc] * n, pa.int64()), pa.array(starts, pa.int64()), pa.array([n] * n, pa.int64()), pa.array(slots, pa.string())],
-                            schema=_WINDOW,
-                        )
+                if sizes:
+                    found = [(key, hashes, places, [values(k) for k in range(len(hashes))]) for _, places, hashes, values in document_windows(text.as_py(), sizes)]
+                else:
+                    # Each form of an item is judged by itself.
+                    found = [(2 * key + form, np.array([x for x, *_ in w], np.uint64), [s for _, s, _ in w], [v for *_, v in w]) for form, _, w in item_windows(text.as_py())]
+                for own, hashes, places, values in found:
+                    n = len(hashes)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(hashes.view(np.int64)), pa.array([own] * n, pa.int64()), pa.array([doc] * n, pa.int64()), pa.array(places, pa.int64()), pa.array([n] * n, pa.int64()), pa.array(map(json.dumps, values), pa.string())],
+                        schema=_WINDOW,
+                    )
 
     return rows
 
@@ -342,7 +403,7 @@ def _by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     judged = pairs.select("key", "id", "item", "total", "hits").mapInArrow(_judge_pairs, "key long, id long, item long, coverage double, changed boolean")
     return (
         judged.groupBy("key", "id")
-        .agg(F.array_sort(F.collect_list("item")).alias("item_ids"), F.max("coverage").alias("coverage"), F.bool_or("changed").alias("reparameterised"))
+        .agg(F.array_sort(F.collect_set("item")).alias("item_ids"), F.max("coverage").alias("coverage"), F.bool_or("changed").alias("reparameterised"))
         .select("id", "item_ids", "coverage", "reparameterised")
     )
 
