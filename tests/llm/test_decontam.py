@@ -86,3 +86,12 @@ def test_changed_names_that_open_sentences(spark, limit):
     got = {r.id: (r.item_ids, r.reparameterised) for r in contaminated(docs, items, broadcast_bytes=limit).collect()}
     assert got == {1: ([1], True), 2: ([1], True), 3: ([1], False)}
     assert drop_contaminated(docs, items, broadcast_bytes=limit).count() == 0
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_items_without_template_windows_are_found_verbatim(spark, limit):
+    long = "1 + 2 = 3 ; 4 + 5 = 9 ; 6 + 7 = 13"
+    items = spark.createDataFrame([(1, "What is 12 * 7 + 3?"), (2, long)], "item_id long, text string")
+    cases = {1: "He asked: (what is 12 * 7 + 3) again.", 2: "What is 13 * 7 + 3?", 3: f"so {long} holds", 4: "1 + 2 = 3 ; 4 + 5 = 9 ; 6 + 7 = 14", 5: None}
+    docs = spark.createDataFrame([*cases.items()], "doc_id long, text string")
+    assert {r.id: r.item_ids for r in contaminated(docs, items, broadcast_bytes=limit).collect()} == {1: [1], 3: [2]}

@@ -22,7 +22,8 @@ measured first; then documents are judged where they are read, without a shuffle
 A larger one is joined by shuffling windows; pairs are then judged in groups of one
 document and one item.
 
-Defined results: null texts have no windows; items without any window cannot be found;
+Defined results: null texts have no windows; items without any window are found by their whole word
+sequence, case-folded and without outer punctuation; items without any letter or digit cannot be found;
 a null or repeated document identifier is judged row by row (a list has each identifier
 once); an empty table on either side gives an empty result; other columns are not read.
 """
@@ -48,6 +49,8 @@ WINDOW = 8
 LITERALS = 4
 COVERAGE = 0.5
 CONSISTENCY = 0.75
+RAW = 2  # form of an item without template windows: its words as they are
+RAW_SEED = 9
 DRIFT = 3  # tokens put in or left out at one place of an occurrence
 BROADCAST_BYTES = 16 << 20
 WORD_TABLE = 300_000
@@ -191,16 +194,28 @@ def window_size(tokens: int) -> int:
     return min(WINDOW, tokens)
 
 
+def raw_hashes(text: str | None) -> np.ndarray:
+    """Hashes of all words, case-folded and without outer punctuation; never those of template tokens."""
+    words = (text or "").split()
+    return np.fromiter((xxhash.xxh64_intdigest((_EDGE.sub("", w) or w).casefold().encode(), RAW_SEED) for w in words), np.uint64, len(words))
+
+
 def item_windows(text: str | None) -> Iterator[tuple[int, int, list[tuple[int, int, list[str]]]]]:
     """``(form, size, [(hash, place, slot values)])`` for each form of an item that has windows."""
+    found = False
     for form, (h, slot, words, at, _) in enumerate(forms(text)):
         if size := window_size(len(h)):
             starts, hashes = template_windows(h, slot, size)
             if len(starts):
+                found = True
                 yield form, size, [(int(x), int(s), slot_values(slot, words, at, s, size)) for s, x in zip(starts, hashes)]
+    if not found and any(c.isalnum() for c in text or ""):
+        h = raw_hashes(text)
+        size = window_size(len(h))
+        yield RAW, size, [(int(x), s, []) for s, x in enumerate(shingles.windows(h, size))]
 
 
-def document_windows(text: str | None, sizes: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, Callable[[int], list[str]]]]:
+def document_windows(text: str | None, sizes: list[int], raw_sizes: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, Callable[[int], list[str]]]]:
     """``(size, places, hashes, values of the k-th)`` of a document; of the second form only the windows that differ."""
     places = None
     for h, slot, words, at, doubtful in forms(text):
@@ -216,6 +231,11 @@ def document_windows(text: str | None, sizes: list[int]) -> Iterator[tuple[int,
                 place = np.searchsorted(places, at[starts])  # as counted in the first form
             yield size, place, hashes, lambda k, s=starts, z=size, v=(slot, words, at): slot_values(*v, s[k], z)
         places = at if places is None else places
+    if raw_sizes:
+        raw = raw_hashes(text)
+        for size in raw_sizes:
+            hashes = shingles.windows(raw, size)
+            yield size, np.arange(len(hashes)), hashes, lambda k: []
 
 
 def consistent(pairs: Counter) -> tuple[bool, bool]:
@@ -230,12 +250,12 @@ def consistent(pairs: Counter) -> tuple[bool, bool]:
     return agree >= CONSISTENCY * total, any(a != b for a, b in pairs)
 
 
-def judge(hits: list[tuple[int, int, list[str], list[str]]], total: int) -> tuple[float, bool] | None:
+def judge(hits: list[tuple[int, int, list[str], list[str]]], total: int, exact: bool = False) -> tuple[float, bool] | None:
     """``(coverage, re-parameterised)`` of an item that a document holds; hits are (place in document, place in item, item's values, document's values)."""
 
     def passes(part: list[int]) -> tuple[float, bool] | None:
         coverage = len({hits[k][1] for k in part}) / total
-        if coverage < COVERAGE:
+        if coverage < (1 if exact else COVERAGE):
             return None
         # A window that comes with the item's own values and, typed the other way, with others has the former.
         same = {hits[k][1] for k in part if hits[k][2] == hits[k][3]}
@@ -259,11 +279,11 @@ def judge(hits: list[tuple[int, int, list[str], list[str]]], total: int) -> tupl
         last = distance
     found = []
     for group in near:
-        if x := passes([k for part in group for k in part]):
+        if not exact and (x := passes([k for part in group for k in part])):
             found.append(x)
         else:
             found += [x for part in group if (x := passes(part))]
-    if not found and (x := passes(order)):
+    if not found and not exact and (x := passes(order)):
         found = [x]
     return (max(c for c, _ in found), any(x for _, x in found)) if found else None
 
@@ -272,25 +292,25 @@ class Index:
     """Template windows of a benchmark."""
 
     def __init__(self, items: list[tuple[int, str | None]]):
-        self.entries: list[tuple[int, int]] = []  # item, windows: one entry for each form of an item
+        self.entries: list[tuple[int, int, bool]] = []  # item, windows: one entry for each form of an item
         self.where: dict[int, list[tuple[int, int, list[str]]]] = defaultdict(list)  # window -> (entry, place, slot values)
-        sizes = set()
+        sizes, raw_sizes = set(), set()
         for number, (_, text) in enumerate(items):
-            for _, size, found in item_windows(text):
+            for form, size, found in item_windows(text):
                 for x, s, values in found:
                     self.where[x].append((len(self.entries), s, values))
-                self.entries.append((number, len(found)))
-                sizes.add(size)
+                self.entries.append((number, len(found), form == RAW))
+                (raw_sizes if form == RAW else sizes).add(size)
         self.items = [i for i, _ in items]
-        self.sizes = sorted(sizes)
+        self.sizes, self.raw_sizes = sorted(sizes), sorted(raw_sizes)
         self.hashes = np.sort(np.array([*self.where], np.uint64))
 
     def find(self, text: str | None) -> list[tuple[int, float, bool]]:
         """``(item, coverage, re-parameterised)`` of the items that a text holds."""
-        if not self.sizes:
+        if not len(self.hashes):
             return []
         hits: dict[int, list] = defaultdict(list)
-        for _, places, hashes, values_of in document_windows(text, self.sizes):
+        for _, places, hashes, values_of in document_windows(text, self.sizes, self.raw_sizes):
             place = np.searchsorted(self.hashes, hashes)
             hit = np.flatnonzero(self.hashes[np.minimum(place, len(self.hashes) - 1)] == hashes)
             for k in hit.tolist():
@@ -299,8 +319,8 @@ class Index:
                     hits[entry].append((int(places[k]), s, mine, values))
         out: dict[int, tuple[float, bool]] = {}
         for entry, found in hits.items():
-            number, total = self.entries[entry]
-            if held := judge(found, total):
+            number, *rule = self.entries[entry]
+            if held := judge(found, *rule):
                 before = out.get(number, (0.0, False))
                 out[number] = max(before[0], held[0]), before[1] or held[1]
         return [(self.items[number], *held) for number, held in out.items()]
@@ -349,25 +369,25 @@ def contaminated(
 
 
 _FOUND = pa.schema([("id", pa.int64()), ("item_ids", pa.list_(pa.int64())), ("coverage", pa.float64()), ("reparameterised", pa.bool_())])
-_WINDOW = pa.schema([("hash", pa.int64()), ("key", pa.int64()), ("id", pa.int64()), ("place", pa.int64()), ("total", pa.int64()), ("slots", pa.string())])
-WINDOW_ROW = "hash long, key long, id long, place long, total long, slots string"
+_WINDOW = pa.schema([("hash", pa.int64()), ("key", pa.int64()), ("id", pa.int64()), ("place", pa.int64()), ("total", pa.int64()), ("slots", pa.string()), ("size", pa.int64()), ("exact", pa.bool_())])
+WINDOW_ROW = "hash long, key long, id long, place long, total long, slots string, size long, exact boolean"
 
 
-def _window_rows(sizes: list[int] | None):
+def _window_rows(sizes: list[int] | None, raw_sizes: list[int] = []):
     """Windows as rows: of one size for each form of an item (its own), of all sizes for documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 if sizes:
-                    found = [(key, hashes, places, [values(k) for k in range(len(hashes))]) for _, places, hashes, values in document_windows(text.as_py(), sizes)]
+                    found = [(key, hashes, places, [values(k) for k in range(len(hashes))], size, False) for size, places, hashes, values in document_windows(text.as_py(), sizes, raw_sizes)]
                 else:
                     # Each form of an item is judged by itself.
-                    found = [(2 * key + form, np.array([x for x, *_ in w], np.uint64), [s for _, s, _ in w], [v for *_, v in w]) for form, _, w in item_windows(text.as_py())]
-                for own, hashes, places, values in found:
+                    found = [(3 * key + form, np.array([x for x, *_ in w], np.uint64), [s for _, s, _ in w], [v for *_, v in w], size, form == RAW) for form, size, w in item_windows(text.as_py())]
+                for own, hashes, places, values, size, exact in found:
                     n = len(hashes)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashes.view(np.int64)), pa.array([own] * n, pa.int64()), pa.array([doc] * n, pa.int64()), pa.array(places, pa.int64()), pa.array([n] * n, pa.int64()), pa.array(map(json.dumps, values), pa.string())],
+                        [pa.array(hashes.view(np.int64)), pa.array([own] * n, pa.int64()), pa.array([doc] * n, pa.int64()), pa.array(places, pa.int64()), pa.array([n] * n, pa.int64()), pa.array(map(json.dumps, values), pa.string()), pa.array([size] * n, pa.int64()), pa.array([exact] * n, pa.bool_())],
                         schema=_WINDOW,
                     )
 
@@ -380,7 +400,7 @@ def _judge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for r in batch.to_pylist():
             hits = [(h["place"], h["at"], json.loads(h["mine"]), json.loads(h["theirs"])) for h in r["hits"]]
-            if held := judge(hits, r["total"]):
+            if held := judge(hits, r["total"], r["exact"]):
                 out.append({"key": r["key"], "id": r["id"], "item": r["item"], "coverage": held[0], "changed": held[1]})
         yield pa.RecordBatch.from_pylist(out, schema)
 
@@ -391,16 +411,17 @@ def _by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     key = F.monotonically_increasing_id().alias("key")
     items = ws.stage(benchmark.select(key, "id", "text").mapInArrow(_window_rows(None), WINDOW_ROW), "items")
     # Items of fewer tokens than a window add sizes: at most WINDOW - 1 more.
-    texts = ws.stage(docs.select(key, "id", "text").mapInArrow(_window_rows(list(range(1, WINDOW + 1))), WINDOW_ROW).join(items.select("hash").distinct(), "hash", "left_semi"), "windows")
-    mine = items.select("hash", F.col("key").alias("item_key"), F.col("id").alias("item"), F.col("place").alias("at"), "total", F.col("slots").alias("mine"))
+    raw_sizes = sorted(r["size"] for r in items.where("exact").select("size").distinct().collect())
+    texts = ws.stage(docs.select(key, "id", "text").mapInArrow(_window_rows(list(range(1, WINDOW + 1)), raw_sizes), WINDOW_ROW).join(items.select("hash").distinct(), "hash", "left_semi"), "windows")
+    mine = items.select("hash", F.col("key").alias("item_key"), F.col("id").alias("item"), F.col("place").alias("at"), "total", "exact", F.col("slots").alias("mine"))
     pairs = (
         texts.select("hash", "key", "id", "place", F.col("slots").alias("theirs"))
         .join(mine, "hash")
-        .groupBy("key", "id", "item_key", "item", "total")
+        .groupBy("key", "id", "item_key", "item", "total", "exact")
         .agg(F.count_distinct("at").alias("places"), F.collect_list(F.struct("place", "at", "mine", "theirs")).alias("hits"))
         .where(F.col("places") >= COVERAGE * F.col("total"))
     )
-    judged = pairs.select("key", "id", "item", "total", "hits").mapInArrow(_judge_pairs, "key long, id long, item long, coverage double, changed boolean")
+    judged = pairs.select("key", "id", "item", "total", "exact", "hits").mapInArrow(_judge_pairs, "key long, id long, item long, coverage double, changed boolean")
     return (
         judged.groupBy("key", "id")
         .agg(F.array_sort(F.collect_set("item")).alias("item_ids"), F.max("coverage").alias("coverage"), F.bool_or("changed").alias("reparameterised"))
