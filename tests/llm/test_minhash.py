@@ -113,3 +113,46 @@ def test_short_texts_are_one_shingle():
     assert len(shingles.shingle_set("")) == len(shingles.shingle_set(None)) == 0
     assert list(shingles.shingle_set("A b")) == list(shingles.shingle_set("a\tB"))
     assert list(shingles.shingle_set("a b")) != list(shingles.shingle_set("a b"))
+
+
+def edited(rng, words, edits):
+    words = list(words)
+    for kind in edits:
+        at = rng.randrange(len(words))
+        words[at : at + (kind != "in")] = [] if kind == "out" else [f"x{rng.randrange(10**6)}"]
+    return words
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_links_between_copies_that_the_original_is_not_similar_to(spark, seed):
+    """Families near the threshold: copies of distant copies, cut-off copies, longer and shorter ones."""
+    rng = random.Random(seed)
+    rows = []
+    for family in range(3):
+        base = [f"f{family}b{i}" for i in range(rng.choice([40, 90, 150]))]
+        texts = [base] * 2
+        for _ in range(60):
+            start = rng.choice(texts)
+            texts.append(edited(rng, start, [rng.choice(["in", "out", "swap"]) for _ in range(rng.randrange(1, max(2, len(base) // 30)))]))
+        texts += [base[: len(base) * k // 20] for k in range(9, 20)] + [base[len(base) * k // 20 :] for k in range(1, 11)]
+        texts += [base + [f"t{i}" for i in range(len(base) * k // 40)] for k in range(1, 14)]
+        rows += texts
+    rng.shuffle(rows)
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.id, r.n_shingles, r.component_id) for r in near_components(docs).collect()) == brute(rows)
+
+
+def test_a_very_long_text(spark):
+    long = [f"w{i}" for i in range(300_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:290_000])), (3, " ".join(long[:200_000])), (4, "x" * 1_000_000), (5, "w1 w2")]
+    got = near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.id, r.n_shingles, r.component_id) for r in got) == [(1, 299_996, 1), (2, 289_996, 1), (3, 199_996, 3), (4, 1, 4), (5, 1, 5)]
+
+
+def test_the_query_has_the_columns_of_its_contract(spark, tmp_path):
+    docs = spark.createDataFrame([(3, "a b c", "en"), (8, "A b\tc", "en"), (9, None, None)], "doc_id long, text string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = minhash.op4_minhash_dedup(spark, str(tmp_path))
+    assert got.dtypes == [("doc_id", "bigint"), ("n_shingles", "bigint"), ("component_id", "bigint"), ("kept", "boolean")]
+    assert sorted(map(tuple, got.collect())) == [(3, 1, 3, True), (8, 1, 3, False), (9, 0, 9, True)]

@@ -9,14 +9,16 @@
    a star: the member that shares most buckets with others, most often the original, is
    the centre and is compared with every other member.  Links merge components.
 4. Members of one centre that are in different components by then may still be similar
-   to each other.  They are dealt by prefix filtering: of two sets of similarity 0.85 in
-   any common order, the first |A| - ceil(0.85 |A|) + 1 shingles have one in common.  The
-   order puts first the shingles that neither the centre nor more than ``RARE`` members
-   have.  So copies that differ from the original each in their own way do not meet at
-   all, and a bucket of one such shingle has at most ``RARE`` members.  Where the first
-   shingles reach into the family's common ones, members are paired only if their sizes
-   leave room: of a set of which c shingles are common ones, c at most can be shared
-   with a member that shares none of the others.
+   to each other.  Each is described by its difference from the centre, the shingles that
+   one of the two has and the other lacks.  Two sets are similar if their differences
+   from each other are at most 15/185 of their sizes' sum; of such a pair at least one is
+   not similar to the centre, which bounds from below how many elements their differences
+   *from the centre* share: about half of the smaller one.  So differences are dealt by
+   prefix filtering, rarest elements among the members outside the centre's component
+   first, and a match counts only if enough elements follow it on both sides.  Copies
+   that differ from the original each in their own way share too little to meet.
+   First each element's members meet its largest difference (another star), then what
+   is still in different components meets pair by pair.
 5. Every candidate is confirmed on the full shingle sets of the whole texts.
 
 So a bucket of n near copies costs about n pairs, not n^2, and no pair of a bucket goes
@@ -37,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomeflow.llm import shingles
@@ -49,8 +51,6 @@ from tomeflow.workspace import Workspace
 ROWS, BANDS = 5, 25
 BINS = ROWS * BANDS
 NULL_ID = -(1 << 63)
-#: A shingle of more members of a group counts as one that the family has in common.
-RARE = 16
 
 _rng = np.random.default_rng(77)
 #: RANK[j, b] is the place of bin b in the order in which the empty bin j looks for a filled one.
@@ -104,15 +104,11 @@ def similar(a: np.ndarray, b: np.ndarray, both: int, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
-
-
-JUDGED = "centre long, member long, n long, cc long, cm long, ok boolean, own array<long>, common array<long>, shared long"
+JUDGED = "centre long, member long, n long, cc long, cm long, ok boolean, nc long, apart array<long>"
 
 
 def _judge(percent: int):
-    """Compare pairs; of members of larger buckets also list the shingles that the centre lacks, and the first common ones."""
+    """Compare pairs; of members of larger buckets also list the shingles that only one of centre and member has."""
     names = [c.split()[0] for c in JUDGED.split(", ")]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,17 +122,18 @@ def _judge(percent: int):
             return recent[key]
 
         for batch in batches:
-            ok, own, shared, count = [], [], [], []
-            for c, m, again, tc, tm in zip(*(batch.column(k).to_pylist() for k in (0, 1, 5)), batch.column(6), batch.column(7)):
+            ok, apart, size = [], [], []
+            for c, m, more, tc, tm in zip(*(batch.column(k).to_pylist() for k in (0, 1, 5)), batch.column(6), batch.column(7)):
                 a, b = of(c, tc), of(m, tm)
-                common = np.intersect1d(a, b, assume_unique=True)
-                ok.append(similar(a, b, len(common), percent))
-                count.append(len(common))
-                # Signed order, which is that of the JVM's arrays.
-                own.append(np.sort(np.setdiff1d(b, common, assume_unique=True).view(np.int64)) if again else None)
-                shared.append(np.sort(common.view(np.int64))[: prefix_length(len(b), percent)] if again else None)
-            lists = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(ok, pa.bool_()), pa.array(own, lists), pa.array(shared, lists), pa.array(count, pa.int64())], names)
+                if more:
+                    differ = np.setxor1d(a, b, assume_unique=True)
+                    both = (len(a) + len(b) - len(differ)) // 2
+                else:
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                ok.append(similar(a, b, both, percent))
+                size.append(len(a))
+                apart.append(differ.view(np.int64) if more else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(ok, pa.bool_()), pa.array(size, pa.int64()), pa.array(apart, pa.list_(pa.int64()))], names)
 
     return judge
 
@@ -184,8 +181,15 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         live = live.drop("comp").join(labels, "rep")
     found = ws.stage(_compare(_stars(ws, live), texts, percent), "stars")
     labels = _merge(ws, labels, found)
-    found = ws.stage(_compare(_rest(ws, found, labels, percent), texts, percent), "rest")
-    labels = _merge(ws, labels, found)
+    family = ws.stage(found.where("apart is not null").select("centre", "member", "n", "nc", "apart"), "families")
+    prefixes = _prefixes(ws, family, labels, percent)
+    if not prefixes.isEmpty():
+        found = ws.stage(_compare(_element_stars(ws, prefixes, percent), texts, percent), "rest")
+        merged = _merge(ws, labels, found)
+        if merged is not labels:
+            labels, prefixes = merged, _prefixes(ws, family, merged, percent)
+        found = ws.stage(_compare(_element_pairs(ws, prefixes, percent), texts, percent), "rest")
+        labels = _merge(ws, labels, found)
     final = members.groupBy("id").agg(F.min("rep").alias("rep")).join(labels, "rep", "left")
     out = features.select("id", "n").join(final.select("id", F.coalesce("comp", "rep").alias("comp")), "id", "left")
     plain = lambda c: F.nullif(c, F.lit(NULL_ID))
@@ -215,42 +219,68 @@ def _compare(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_judge(percent), JUDGED)
 
 
-def _rest(ws: Workspace, found: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one centre, in different components, that may be similar."""
-    placed = found.where("own is not null").join(labels.withColumnRenamed("rep", "member"), "member")
+def _prefixes(ws: Workspace, family: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """First elements of the members' differences from their centre, where a member is outside the centre's component.
+
+    ``d`` is the size of a member's difference, ``pos`` an element's place in it, ``out`` whether the
+    member is outside, and ``short`` the prefix that suffices to meet a member outside.
+    """
+    # Similar: |A ^ B| (100 + percent) <= (100 - percent) (|A| + |B|).
+    whole, loose = 100 + percent, 100 - percent
     home = labels.select(F.col("rep").alias("centre"), F.col("comp").alias("home"))
-    mixed = placed.groupBy("centre").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("least"))
-    mixed = ws.stage(mixed.where("lo <> hi").select("centre", "least").join(home, "centre"), "mixed")
-    placed = ws.stage(placed.join(mixed, "centre").select("centre", "member", "n", "comp", "home", "least", "own", "common", "shared"), "placed")
-    counts = placed.select("centre", F.explode("own").alias("token")).groupBy("centre", "token").agg(F.count("*").alias("k"))
-    frequent = ws.stage(counts.where(F.col("k") > RARE).groupBy("centre").agg(F.collect_list("token").alias("frequent")), "frequent")
-    placed = placed.join(frequent, "centre", "left").withColumn("frequent", F.coalesce("frequent", F.array().cast("array<long>")))
-    rare, family = F.array_except("own", "frequent"), F.array_intersect("own", "frequent")
-    length = (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1).cast("int")
-    kept = placed.select("centre", "member", "n", "comp", "home", "least", length.alias("length"), rare.alias("rare"), family.alias("family"), "common", (F.col("shared") + F.size(family)).alias("c"))
-    rest = F.greatest(F.col("length") - F.size("rare"), F.lit(0))
-    kept = ws.stage(
-        kept.select(
-            "centre", "member", "n", "comp", "home", "least", F.slice("rare", F.lit(1), F.col("length")).alias("first"), F.slice(F.array_sort(F.concat("family", "common")), F.lit(1), rest).alias("then"),
-            (F.floor(F.col("c") * (100 + percent) / percent) - F.col("n")).alias("room"),
-        ),
-        "ordered",
-    )
-    # By rare shingles: at most RARE members share one.
-    tokens = kept.select("centre", F.explode("first").alias("token"), "member", "n", "comp")
-    other = tokens.select("centre", "token", *[F.col(c).alias(f"o_{c}") for c in ("member", "n", "comp")])
-    sizes = 100 * F.least("n", "o_n") >= percent * F.greatest("n", "o_n")
-    by_rare = tokens.join(other, ["centre", "token"]).where((F.col("member") < F.col("o_member")) & (F.col("comp") != F.col("o_comp")) & sizes)
-    # By common ones: members outside the centre's component, against all whose sizes leave room on both sides.
-    tokens = kept.select("centre", F.explode("then").alias("token"), "member", "n", "comp", "home", "least", "room")
-    other = tokens.where("comp <> home and room >= least").select("centre", "token", *[F.col(c).alias(f"o_{c}") for c in ("member", "n", "comp", "room")])
-    fits = (F.col("o_comp") != F.col("comp")) & (F.col("n") <= F.col("o_room")) & (F.col("o_n") <= F.col("room")) & sizes
-    by_common = tokens.join(other, ["centre", "token"]).where(fits)
-    first = F.col("member") < F.col("o_member")
-    pick = lambda a, b: F.when(first, F.col(a)).otherwise(F.col(b))
-    ends = [pick("member", "o_member").alias("centre"), pick("o_member", "member").alias("member"), pick("o_n", "n").alias("n"), pick("comp", "o_comp").alias("cc"), pick("o_comp", "comp").alias("cm")]
-    pairs = by_rare.select(*ends).unionAll(by_common.select(*ends)).distinct()
-    return ws.stage(pairs.withColumn("more", F.lit(False)), "rest-pairs")
+    placed = family.join(labels.withColumnRenamed("rep", "member"), "member").join(home, "centre")
+    mixed = placed.where("comp <> home").select("centre").distinct()
+    placed = ws.stage(
+        placed.join(mixed, "centre", "left_semi").select("centre", "member", "n", "nc", "comp", (F.col("comp") != F.col("home")).alias("out"), F.size("apart").cast("long").alias("d"), "apart"), "placed"
+    )
+    elements = placed.select("centre", "member", "n", "nc", "comp", "out", "d", F.explode("apart").alias("token"))
+    counts = ws.stage(elements.where("out").groupBy("centre", "token").agg(F.count("*").alias("k")), "elements")
+    # One member's elements are one row: as many as its text and the centre's have shingles at most.
+    ordered = elements.join(counts, ["centre", "token"]).groupBy("centre", "member", "n", "nc", "comp", "out", "d").agg(F.array_sort(F.collect_list(F.struct("k", "token"))).alias("t"))
+    # A member shares at least ``least`` elements with one outside, and the latter ``fewest`` with any.
+    least = F.ceil((whole * F.col("d") + loose * (F.col("nc") - F.col("n")) + 1) / (2 * whole))
+    fewest = F.greatest(F.lit(1), F.ceil((whole * F.col("d") - loose * (F.col("n") + F.col("nc"))) / (whole + loose)))
+    none = F.col("d") - F.size("t")  # elements that no member outside has come first
+    short = F.col("d") - least + 1
+    length = F.when(F.col("out"), F.col("d") - fewest + 1).otherwise(short) - none
+    first = ordered.select("centre", "member", "n", "comp", "out", "d", short.alias("short"), none.alias("none"), F.slice("t", F.lit(1), F.greatest(length, F.lit(0)).cast("int")).alias("t"))
+    first = first.select("centre", "member", "n", "comp", "out", "d", "short", "none", F.posexplode("t").alias("place", "e"))
+    return ws.stage(first.select("centre", F.col("e.token").alias("token"), "member", "n", "comp", "out", "d", "short", (F.col("none") + F.col("place")).alias("pos")), "prefixes")
+
+
+def _may_be_similar(a: str, b: str, percent: int) -> Column:
+    """Whether rows ``a`` and ``b`` of one element, the first that they share, leave room for the similarity."""
+    of = lambda side, c: F.col(f"{side}.{c}")
+    n = of(a, "n") + of(b, "n")
+    overlap = (of(a, "d") + of(b, "d") - F.floor((100 - percent) * n / (100 + percent))) / 2
+    follow = F.least(of(a, "d") - of(a, "pos"), of(b, "d") - of(b, "pos"))
+    # A member outside is met by the short prefix of the other.
+    reach = (of(a, "out") & (of(b, "pos") < of(b, "short"))) | (of(b, "out") & (of(a, "pos") < of(a, "short")))
+    return (of(a, "comp") != of(b, "comp")) & reach & (follow >= overlap) & (100 * F.least(of(a, "n"), of(b, "n")) >= percent * F.greatest(of(a, "n"), of(b, "n")))
+
+
+def _as_pairs(ws: Workspace, met: DataFrame, a: str, b: str) -> DataFrame:
+    first = F.col(f"{a}.member") < F.col(f"{b}.member")
+    pick = lambda x, y, c: F.when(first, F.col(f"{x}.{c}")).otherwise(F.col(f"{y}.{c}"))
+    ends = [pick(a, b, "member").alias("centre"), pick(b, a, "member").alias("member"), pick(b, a, "n").alias("n"), pick(a, b, "comp").alias("cc"), pick(b, a, "comp").alias("cm")]
+    return ws.stage(met.select(*ends).distinct().withColumn("more", F.lit(False)), "rest-pairs")
+
+
+def _element_stars(ws: Workspace, prefixes: DataFrame, percent: int) -> DataFrame:
+    """Members of an element against the one of the largest difference."""
+    row = F.struct("member", "n", "comp", "out", "d", "short", "pos")
+    tops = prefixes.groupBy("centre", "token").agg(F.max(F.struct("d", F.lit(-1) - F.col("member"), row.alias("row"))).alias("top"), F.bool_or("out").alias("some"), F.count("*").alias("c"))
+    tops = ws.stage(tops.where("some and c > 1").select("centre", "token", F.col("top.row").alias("b")), "tops")
+    met = prefixes.select("centre", "token", row.alias("a")).join(tops, ["centre", "token"]).where(_may_be_similar("a", "b", percent))
+    return _as_pairs(ws, met, "a", "b")
+
+
+def _element_pairs(ws: Workspace, prefixes: DataFrame, percent: int) -> DataFrame:
+    """Members outside the centre's component against all that their elements leave room for."""
+    row = F.struct("member", "n", "comp", "out", "d", "short", "pos")
+    one, two = prefixes.select("centre", "token", row.alias("a")), prefixes.where("out").select("centre", "token", row.alias("b"))
+    met = one.join(two, ["centre", "token"]).where(_may_be_similar("a", "b", percent) & (~F.col("a.out") | (F.col("a.member") < F.col("b.member"))))
+    return _as_pairs(ws, met, "a", "b")
 
 
 def _merge(ws: Workspace, labels: DataFrame, found: DataFrame) -> DataFrame:
@@ -280,4 +310,30 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(docs).withColumnRenamed("id", "doc_id")
 
 
-SQL: dict[str, str] = {}
+#: All pairs that share a shingle are counted, then components are closed round by round.
+SQL: dict[str, str] = {
+    "op4_minhash_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                   ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+            FROM w
+        ), sizes AS MATERIALIZED (SELECT doc_id, len(s) AS n FROM sets),
+        shingles AS MATERIALIZED (SELECT doc_id, hash(x) AS h, md5(x) AS x FROM (SELECT doc_id, unnest(s) AS x FROM sets)),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+            FROM shingles a JOIN shingles b ON a.h = b.h AND a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2
+        ), links AS MATERIALIZED (
+            SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * shared >= 85 * (p.n + q.n - shared)
+        ), arcs AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM sizes
+            UNION
+            SELECT reach.doc_id, arcs.b FROM reach JOIN arcs ON arcs.a = reach.other
+        )
+        SELECT doc_id, n AS n_shingles, least_id AS component_id, doc_id = least_id AS kept
+        FROM sizes JOIN (SELECT doc_id, min(other) AS least_id FROM reach GROUP BY doc_id) USING (doc_id)
+    """
+}
