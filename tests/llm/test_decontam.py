@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tomeflow.llm.decontam import canonical, contaminated, drop_contaminated
+from tomeflow.llm.decontam import RAW, canonical, contaminated, document_windows, drop_contaminated, item_windows, judge, op9_decontamination
 
 ITEMS = [
     (1, "Anna Berg buys 12 apples and gives 5 apples to Carl before Anna Berg eats 2 apples on the way home."),
@@ -35,10 +35,10 @@ def frames(spark):
 @pytest.mark.parametrize("limit", [1 << 20, 0])
 def test_items_are_found_by_both_joins(spark, limit):
     docs, items = frames(spark)
-    got = {r.id: (r.item_ids, r.reparameterised) for r in contaminated(docs, items, broadcast_bytes=limit).collect()}
+    got = {r.id: (r.item_ids, r.reparameterised) for r in contaminated(docs, items, broadcast_hashes=limit).collect()}
     assert {i: x[0] for i, x in got.items()} == {i: want for i, (_, want) in CASES.items() if want}
     assert got[11][1] and got[12][1] and not got[10][1] and not got[13][1]
-    kept = drop_contaminated(docs, items, broadcast_bytes=limit)
+    kept = drop_contaminated(docs, items, broadcast_hashes=limit)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (_, want) in CASES.items() if not want)
 
@@ -74,8 +74,8 @@ def test_occurrences_are_judged_one_by_one(spark, limit):
     far = CASES[10][0] + " " + " ".join(f"w{i}" for i in range(500)) + " " + CASES[11][0]
     docs = spark.createDataFrame([(1, both), (2, far), (3, CASES[14][0])], "doc_id long, text string")
     twins = spark.createDataFrame([ITEMS[0], (7, CASES[11][0])], "item_id long, text string")
-    assert sorted((r.id, r.item_ids) for r in contaminated(docs, twins, broadcast_bytes=limit).collect()) == [(1, [1, 7]), (2, [1, 7])]
-    assert [r.doc_id for r in drop_contaminated(docs, twins, broadcast_bytes=limit).collect()] == [3]
+    assert sorted((r.id, r.item_ids) for r in contaminated(docs, twins, broadcast_hashes=limit).collect()) == [(1, [1, 7]), (2, [1, 7])]
+    assert [r.doc_id for r in drop_contaminated(docs, twins, broadcast_hashes=limit).collect()] == [3]
 
 
 @pytest.mark.parametrize("limit", [1 << 20, 0])
@@ -83,9 +83,9 @@ def test_changed_names_that_open_sentences(spark, limit):
     text = "{0} buys twelve red apples at the market today. {0} eats two of them on the way home. {0} gives half of the rest away to friends. How many apples are left?"
     items = spark.createDataFrame([(1, text.format("Maria"))], "item_id long, text string")
     docs = spark.createDataFrame([(1, "Before that. " + text.format("Bo")), (2, text.format("Anna Berg")), (3, text.format("Maria"))], "doc_id long, text string")
-    got = {r.id: (r.item_ids, r.reparameterised) for r in contaminated(docs, items, broadcast_bytes=limit).collect()}
+    got = {r.id: (r.item_ids, r.reparameterised) for r in contaminated(docs, items, broadcast_hashes=limit).collect()}
     assert got == {1: ([1], True), 2: ([1], True), 3: ([1], False)}
-    assert drop_contaminated(docs, items, broadcast_bytes=limit).count() == 0
+    assert drop_contaminated(docs, items, broadcast_hashes=limit).count() == 0
 
 
 @pytest.mark.parametrize("limit", [1 << 20, 0])
@@ -94,4 +94,66 @@ def test_items_without_template_windows_are_found_verbatim(spark, limit):
     items = spark.createDataFrame([(1, "What is 12 * 7 + 3?"), (2, long)], "item_id long, text string")
     cases = {1: "He asked: (what is 12 * 7 + 3) again.", 2: "What is 13 * 7 + 3?", 3: f"so {long} holds", 4: "1 + 2 = 3 ; 4 + 5 = 9 ; 6 + 7 = 14", 5: None}
     docs = spark.createDataFrame([*cases.items()], "doc_id long, text string")
-    assert {r.id: r.item_ids for r in contaminated(docs, items, broadcast_bytes=limit).collect()} == {1: [1], 3: [2]}
+    assert {r.id: r.item_ids for r in contaminated(docs, items, broadcast_hashes=limit).collect()} == {1: [1], 3: [2]}
+
+
+def held(text, items):
+    """Items of a text, each compared with it by itself."""
+    out = set()
+    for item, (_, words) in enumerate(items):
+        for form, size, windows in item_windows(words):
+            where = {}
+            for x, at, values in windows:
+                where.setdefault(x, []).append((at, values))
+            hits = []
+            for _, places, hashes, values_of in document_windows(text, *([[], [size]] if form == RAW else [[size], []])):
+                for k, x in enumerate(hashes.tolist()):
+                    hits += [(int(places[k]), at, mine, values_of(k)) for at, mine in where.get(x, [])]
+            if hits and judge(hits, len(windows), form == RAW):
+                out.add(items[item][0])
+    return sorted(out)
+
+
+def test_random_items_against_all_pairs(spark):
+    rng = random.Random(8)
+    names, words = ["Anna", "Bo Lind", "Carl", "Dora"], [f"w{chr(97 + i)}{chr(97 + i % 7)}" for i in range(20)]
+    slot = lambda: rng.choice([str(rng.randrange(9)), rng.choice(names), "%d km" % rng.randrange(5), rng.choice(words), rng.choice(words)])
+    items = [(i, " ".join(slot() for _ in range(rng.choice([1, 3, 6, 9, 14, 30])))) for i in range(30)]
+    items += [(30, "3 5 8 13 21 34 55 ?"), (31, "3 5 8 13 21 34 55 ?"), (32, items[5][1]), (33, None), (34, "?!"), (None, items[7][1])]
+    docs = []
+    for i in range(120):
+        parts = [" ".join(slot() for _ in range(rng.randrange(25)))]
+        for _ in range(rng.randrange(3)):
+            text = rng.choice(items)[1] or ""
+            if rng.random() < 0.5:
+                text = " ".join(str(rng.randrange(9)) if w.isdigit() else w for w in text.split())
+            parts += [text, " ".join(rng.choice(words) for _ in range(rng.randrange(12)))]
+        docs.append((i, " ".join(parts)))
+    docs += [(None, items[4][1]), (None, items[4][1]), (None, "nothing"), (7, items[8][1]), (7, "other"), (500, None), (501, "")]
+    keyed = [(i if i is not None else 1000 + k, t) for k, (i, t) in enumerate(items)]
+    back = {k: i for (i, _), (k, _) in zip(items, keyed)}
+    want = sorted((-1 if d is None else d, sorted({back[k] for k in found} - {None})) for d, t in docs if (found := held(t, keyed)))
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert 20 < len(want) < len(docs)
+    for limit in (1 << 20, 0):
+        got = contaminated(frame, bench, broadcast_hashes=limit).collect()
+        assert sorted((-1 if r.id is None else r.id, [x for x in r.item_ids if x is not None]) for r in got) == want
+    bad = [(d, t) for d, t in docs if held(t, keyed)]
+    left = sorted((str(r.doc_id), str(r.text)) for r in drop_contaminated(frame, bench).collect())
+    assert left == sorted((str(d), str(t)) for d, t in docs if (d, t) not in bad)
+
+
+def test_values_of_one_kind_do_not_stand_for_many(spark):
+    item = "first 3 birds then 4 cats then 5 dogs then 6 cows then 7 hens came along"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item.translate(str.maketrans("34567", "99999"))), (2, item.translate(str.maketrans("34567", "45678"))), (3, item)], "doc_id long, text string")
+    assert sorted(r.id for r in contaminated(docs, items).collect()) == [2, 3]
+
+
+def test_the_query_has_the_columns_of_its_contract(spark, tmp_path):
+    docs, items = frames(spark)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = op9_decontamination(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "item_ids", "coverage", "reparameterised"]
+    assert {r.doc_id: r.item_ids for r in got.collect()} == {i: want for i, (_, want) in CASES.items() if want}

@@ -8,29 +8,36 @@ window as a whole.  Documents' windows are hash-joined with those of the benchma
 A capitalised word that opens a sentence may be a name or not: unless it is a function
 word, texts are typed in both ways, and an item is found by its windows of either.
 
-A document holds an item if the join covers at least half of the item's windows and
-the slots agree: wherever the item repeats a value the document repeats the value that
-stands for it (three of four slots at least).  So a question with other numbers and
-names is caught, and a sentence that happens to have the same frame is not.  Both are
-judged for each occurrence by itself, that is the windows at one distance between their
-places in document and item, or at distances that differ by little; one that passes is
-enough.  If none does, the windows of the whole document are judged together, for items
-that it holds in parts.
-
-The benchmark side is broadcast if its texts are within ``BROADCAST_BYTES``, which is
-measured first; then documents are judged where they are read, without a shuffle.
-A larger one is joined by shuffling windows; pairs are then judged in groups of one
-document and one item.
-
-Defined results: null texts have no windows; items without any window are found by their whole word
-sequence, case-folded and without outer punctuation; items without any letter or digit cannot be found;
-a null or repeated document identifier is judged row by row (a list has each identifier
-once); an empty table on either side gives an empty result; other columns are not read.
+1. Items' windows are a table: hash, place, slot values.  Documents give the hashes of
+   their windows, which are hash-joined with those of the items; the items' side is
+   broadcast up to a counted number of hashes, both sides are shuffled beyond.
+2. An item that a document holds has at least half of its windows there, so at least one
+   of its rarest half: hits on these alone make candidate pairs, which windows that very
+   many items share do not.  A count of the matched windows settles the coverage.
+3. Texts of documents with a covered item are read once more for the slot values of the
+   matched windows.  Their hits are joined with the item's, a row for each pair, and judged.
+
+The slots agree if the document repeats a value wherever the item repeats one (three of
+four slots at least), and, the other way round, a value of the document does not stand
+for many of the item (half of the slots at least, as changed values may coincide).  So a
+question with other numbers and names is caught, and a sentence that happens to have the
+same frame is not.  Both are judged for each occurrence by itself, that is the windows at
+one distance between their places in document and item, or at distances that differ by
+little; one that passes is enough.  If none does, the windows of the whole document are
+judged together, for items that it holds in parts.
+
+Memory: a pair's hits are one row, bounded by the two texts; nothing of the benchmark or
+the documents is collected but the window sizes in use, ``WINDOW`` at most of each kind.
+
+Defined results: null texts have no windows; items without any window are found by their
+whole word sequence, case-folded and without outer punctuation; items without any letter
+or digit cannot be found; a null or repeated document identifier is judged row by row (a
+list has each item once); rows that repeat an item identifier are items of their own; an
+empty table on either side gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
-import json
 import re
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
@@ -38,11 +45,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tomeflow.llm import shingles
 from tomeflow.llm.batches import small_batches
+from tomeflow.llm.joins import BROADCAST_IDS, NULL_ID, id_side, keyed
 from tomeflow.workspace import Workspace
 
 WINDOW = 8
@@ -52,7 +60,7 @@ CONSISTENCY = 0.75
 RAW = 2  # form of an item without template windows: its words as they are
 RAW_SEED = 9
 DRIFT = 3  # tokens put in or left out at one place of an occurrence
-BROADCAST_BYTES = 16 << 20
+BACKWARD = 0.5
 WORD_TABLE = 300_000
 
 NUMBER, NAME, UNIT, GLUED, ENDS, SKIP, FUNCTION = 1, 2, 4, 8, 16, 32, 64
@@ -78,6 +86,7 @@ FUNCTION_WORDS = frozenset(
 )
 _DIGITS = re.compile(r"[-+]?[$€£]?\d+(?:[.,:/]\d+)*%?", re.A)
 _WITH_UNIT = re.compile(r"([-+]?\d+(?:[.,]\d+)*)([^\W\d_]+|%)")
+_MARKS = re.compile(r"[.,;:!?'\"()\[\]{}…“”‘’«»]+")
 _EDGE = re.compile(r"^[^\w$€£+%-]+|[^\w%]+$")
 
 
@@ -195,8 +204,8 @@ def window_size(tokens: int) -> int:
 
 
 def raw_hashes(text: str | None) -> np.ndarray:
-    """Hashes of all words, case-folded and without outer punctuation; never those of template tokens."""
-    words = (text or "").split()
+    """Hashes of all words but marks of a sentence, case-folded and without outer punctuation; never those of template tokens."""
+    words = [w for w in (text or "").split() if not _MARKS.fullmatch(w)]
     return np.fromiter((xxhash.xxh64_intdigest((_EDGE.sub("", w) or w).casefold().encode(), RAW_SEED) for w in words), np.uint64, len(words))
 
 
@@ -244,10 +253,12 @@ def consistent(pairs: Counter) -> tuple[bool, bool]:
     if not total:
         return True, False
     forward: dict[str, Counter] = defaultdict(Counter)
+    backward: dict[str, Counter] = defaultdict(Counter)
     for (mine, theirs), n in pairs.items():
         forward[mine][theirs] += n
-    agree = sum(c.most_common(1)[0][1] for c in forward.values())
-    return agree >= CONSISTENCY * total, any(a != b for a, b in pairs)
+        backward[theirs][mine] += n
+    one, other = (sum(c.most_common(1)[0][1] for c in way.values()) for way in (forward, backward))
+    return one >= CONSISTENCY * total and other >= BACKWARD * total, any(a != b for a, b in pairs)
 
 
 def judge(hits: list[tuple[int, int, list[str], list[str]]], total: int, exact: bool = False) -> tuple[float, bool] | None:
@@ -288,164 +299,141 @@ def judge(hits: list[tuple[int, int, list[str], list[str]]], total: int, exact:
     return (max(c for c, _ in found), any(x for _, x in found)) if found else None
 
 
-class Index:
-    """Template windows of a benchmark."""
-
-    def __init__(self, items: list[tuple[int, str | None]]):
-        self.entries: list[tuple[int, int, bool]] = []  # item, windows: one entry for each form of an item
-        self.where: dict[int, list[tuple[int, int, list[str]]]] = defaultdict(list)  # window -> (entry, place, slot values)
-        sizes, raw_sizes = set(), set()
-        for number, (_, text) in enumerate(items):
-            for form, size, found in item_windows(text):
-                for x, s, values in found:
-                    self.where[x].append((len(self.entries), s, values))
-                self.entries.append((number, len(found), form == RAW))
-                (raw_sizes if form == RAW else sizes).add(size)
-        self.items = [i for i, _ in items]
-        self.sizes, self.raw_sizes = sorted(sizes), sorted(raw_sizes)
-        self.hashes = np.sort(np.array([*self.where], np.uint64))
-
-    def find(self, text: str | None) -> list[tuple[int, float, bool]]:
-        """``(item, coverage, re-parameterised)`` of the items that a text holds."""
-        if not len(self.hashes):
-            return []
-        hits: dict[int, list] = defaultdict(list)
-        for _, places, hashes, values_of in document_windows(text, self.sizes, self.raw_sizes):
-            place = np.searchsorted(self.hashes, hashes)
-            hit = np.flatnonzero(self.hashes[np.minimum(place, len(self.hashes) - 1)] == hashes)
-            for k in hit.tolist():
-                values = values_of(k)
-                for entry, s, mine in self.where[int(hashes[k])]:
-                    hits[entry].append((int(places[k]), s, mine, values))
-        out: dict[int, tuple[float, bool]] = {}
-        for entry, found in hits.items():
-            number, *rule = self.entries[entry]
-            if held := judge(found, *rule):
-                before = out.get(number, (0.0, False))
-                out[number] = max(before[0], held[0]), before[1] or held[1]
-        return [(self.items[number], *held) for number, held in out.items()]
-
-
 FOUND = "id long, item_ids array<long>, coverage double, reparameterised boolean"
+_strings = pa.list_(pa.string())
+_ITEM = pa.schema([("entry", pa.int64()), ("item", pa.int64()), ("size", pa.int64()), ("exact", pa.bool_()), ("total", pa.int64()), ("hash", pa.int64()), ("at", pa.int64()), ("mine", _strings)])
+ITEM_ROW = "entry long, item long, size long, exact boolean, total long, hash long, at long, mine array<string>"
+_SLOTS = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("hash", pa.int64()), ("place", pa.int64()), ("theirs", _strings)])
+SLOT_ROW = "id long, text_hash long, hash long, place long, theirs array<string>"
 
 
-def _bounded(benchmark: DataFrame, text_col: str, limit: int) -> bool:
-    size = benchmark.agg(F.sum(F.octet_length(text_col)).alias("bytes")).first()["bytes"] or 0
-    return size <= limit
+def _signed(hashes: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(hashes).view(np.int64))
 
 
-def _index(benchmark: DataFrame, item_col: str, text_col: str) -> Index:
-    rows = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(text_col).alias("text")).orderBy("id", "text").collect()
-    return Index([(r["id"], r["text"]) for r in rows])
+def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows of items; each form of an item is an entry, which is judged by itself."""
+    for batch in batches:
+        out = []
+        for key, item, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for form, size, found in item_windows(text):
+                head = {"entry": 3 * key + form, "item": item, "size": size, "exact": form == RAW, "total": len(found)}
+                out += [{**head, "hash": int(np.uint64(x).astype(np.int64)), "at": s, "mine": values} for x, s, values in found]
+        yield pa.RecordBatch.from_pylist(out, _ITEM)
 
 
-def contaminated(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_col: str = "item_id",
-    item_text_col: str = "text",
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """One row per document that holds an item: ``id, item_ids, coverage`` (largest), ``reparameterised`` (any item with other values)."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    if not _bounded(benchmark, item_text_col, broadcast_bytes):
-        return _by_shuffle(rows, benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")))
-    shared = spark.sparkContext.broadcast(_index(benchmark, item_col, item_text_col))
-
-    def judge_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
-        for batch in batches:
-            out = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if found := index.find(text.as_py()):
-                    out.append({"id": doc, "item_ids": sorted({i for i, *_ in found if i is not None}), "coverage": max(c for _, c, _ in found), "reparameterised": any(x for *_, x in found)})
-            yield pa.RecordBatch.from_pylist(out, _FOUND)
-
-    return rows.mapInArrow(judge_texts, FOUND)
+def _hash_rows(sizes: list[int], raw_sizes: list[int]):
+    """Distinct window hashes of documents."""
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, found = [], []
+            for k, text in enumerate(batch.column(2)):
+                hashes = [h for _, _, h, _ in document_windows(text.as_py(), sizes, raw_sizes)]
+                if hashes and len(x := np.unique(np.concatenate(hashes))):
+                    found.append(x)
+                    owner.append(np.full(len(x), k))
+            if found:
+                rows = pa.array(np.concatenate(owner))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), _signed(np.concatenate(found))], ["id", "text_hash", "hash"])
 
-_FOUND = pa.schema([("id", pa.int64()), ("item_ids", pa.list_(pa.int64())), ("coverage", pa.float64()), ("reparameterised", pa.bool_())])
-_WINDOW = pa.schema([("hash", pa.int64()), ("key", pa.int64()), ("id", pa.int64()), ("place", pa.int64()), ("total", pa.int64()), ("slots", pa.string()), ("size", pa.int64()), ("exact", pa.bool_())])
-WINDOW_ROW = "hash long, key long, id long, place long, total long, slots string, size long, exact boolean"
+    return rows
 
 
-def _window_rows(sizes: list[int] | None, raw_sizes: list[int] = []):
-    """Windows as rows: of one size for each form of an item (its own), of all sizes for documents."""
+def _slot_rows(sizes: list[int], raw_sizes: list[int]):
+    """Places and slot values of the matched windows of documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                if sizes:
-                    found = [(key, hashes, places, [values(k) for k in range(len(hashes))], size, False) for size, places, hashes, values in document_windows(text.as_py(), sizes, raw_sizes)]
-                else:
-                    # Each form of an item is judged by itself.
-                    found = [(3 * key + form, np.array([x for x, *_ in w], np.uint64), [s for _, s, _ in w], [v for *_, v in w], size, form == RAW) for form, size, w in item_windows(text.as_py())]
-                for own, hashes, places, values, size, exact in found:
-                    n = len(hashes)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashes.view(np.int64)), pa.array([own] * n, pa.int64()), pa.array([doc] * n, pa.int64()), pa.array(places, pa.int64()), pa.array([n] * n, pa.int64()), pa.array(map(json.dumps, values), pa.string()), pa.array([size] * n, pa.int64()), pa.array([exact] * n, pa.bool_())],
-                        schema=_WINDOW,
-                    )
+            for doc, text_hash, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                wanted = np.array(wanted.as_py(), np.int64).view(np.uint64)
+                for _, places, hashes, values in document_windows(text.as_py(), sizes, raw_sizes):
+                    hit = np.flatnonzero(np.isin(hashes, wanted))
+                    n = len(hit)
+                    if n:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([doc] * n, pa.int64()), pa.array([text_hash] * n, pa.int64()), _signed(hashes[hit]), pa.array(places[hit], pa.int64()), pa.array([values(k) for k in hit.tolist()], _strings)],
+                            schema=_SLOTS,
+                        )
 
     return rows
 
 
 def _judge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("item", pa.int64()), ("coverage", pa.float64()), ("changed", pa.bool_())])
+    schema = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("item", pa.int64()), ("coverage", pa.float64()), ("changed", pa.bool_())])
     for batch in batches:
         out = []
         for r in batch.to_pylist():
-            hits = [(h["place"], h["at"], json.loads(h["mine"]), json.loads(h["theirs"])) for h in r["hits"]]
+            hits = [(h["place"], h["at"], h["mine"], h["theirs"]) for h in r["hits"]]
             if held := judge(hits, r["total"], r["exact"]):
-                out.append({"key": r["key"], "id": r["id"], "item": r["item"], "coverage": held[0], "changed": held[1]})
+                out.append({"id": r["id"], "text_hash": r["text_hash"], "item": r["item"], "coverage": held[0], "changed": held[1]})
         yield pa.RecordBatch.from_pylist(out, schema)
 
 
-def _by_shuffle(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The join for a benchmark that is too large to broadcast."""
-    ws = Workspace(docs.sparkSession, "decontamination")
-    key = F.monotonically_increasing_id().alias("key")
-    items = ws.stage(benchmark.select(key, "id", "text").mapInArrow(_window_rows(None), WINDOW_ROW), "items")
-    # Items of fewer tokens than a window add sizes: at most WINDOW - 1 more.
-    raw_sizes = sorted(r["size"] for r in items.where("exact").select("size").distinct().collect())
-    texts = ws.stage(docs.select(key, "id", "text").mapInArrow(_window_rows(list(range(1, WINDOW + 1)), raw_sizes), WINDOW_ROW).join(items.select("hash").distinct(), "hash", "left_semi"), "windows")
-    mine = items.select("hash", F.col("key").alias("item_key"), F.col("id").alias("item"), F.col("place").alias("at"), "total", "exact", F.col("slots").alias("mine"))
+def _held(ws: Workspace, rows: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, broadcast_hashes: int) -> DataFrame:
+    """``id, text_hash, item_ids, coverage, reparameterised`` of the documents ``rows`` (``id, text_hash, text``) that hold an item."""
+    items = benchmark.select(F.monotonically_increasing_id().alias("entry"), F.col(item_col).cast("long").alias("item"), F.col(text_col).alias("text"))
+    items = ws.stage(items.mapInArrow(_item_rows, ITEM_ROW), "items")
+    used = items.groupBy("exact").agg(F.sort_array(F.collect_set("size")).alias("sizes")).collect()  # WINDOW sizes at most of either kind
+    sizes, raw_sizes = ([x for r in used if r["exact"] is kind for x in r["sizes"]] for kind in (False, True))
+    known = ws.stage(items.select("hash").distinct(), "item-hashes")
+    hits = ws.stage(rows.mapInArrow(_hash_rows(sizes, raw_sizes), "id long, text_hash long, hash long").join(id_side(known, broadcast_hashes), "hash", "left_semi").distinct(), "hits")
+
+    # An item's rarest windows: one more than it may lack.
+    need = F.when(F.col("exact"), F.col("total")).otherwise(F.ceil(F.lit(COVERAGE) * F.col("total")))
+    rank = F.row_number().over(Window.partitionBy("entry").orderBy("entries", "hash", "at"))
+    rarest = items.join(items.groupBy("hash").agg(F.count_distinct("entry").alias("entries")), "hash").withColumn("rank", rank).where(F.col("rank") <= F.col("total") - need + 1)
+    candidates = ws.stage(hits.join(rarest.select("hash", "entry").distinct(), "hash").select("id", "text_hash", "entry").distinct(), "candidates")
+    windows = candidates.join(items.select("entry", "exact", "total", "hash", "at"), "entry").join(hits, ["id", "text_hash", "hash"])
+    covered = windows.groupBy("id", "text_hash", "entry", "exact", "total").agg(F.count_distinct("at").alias("places")).where(F.col("places") >= need)
+    covered = ws.stage(covered.select("id", "text_hash", "entry"), "covered")
+
+    some = ws.stage(covered.select("id").distinct(), "held-ids")
+    texts = ws.stage(rows.join(id_side(some), "id", "left_semi").distinct(), "held-texts")
+    # A document's matched windows: as many as its text has at most.
+    wanted = covered.join(items.select("entry", "hash"), "entry").select("id", "text_hash", "hash").distinct().join(hits, ["id", "text_hash", "hash"], "left_semi")
+    wanted = wanted.groupBy("id", "text_hash").agg(F.collect_list("hash").alias("wanted"))
+    slots = ws.stage(texts.join(wanted.hint("merge"), ["id", "text_hash"]).select("id", "text_hash", "text", "wanted").mapInArrow(_slot_rows(sizes, raw_sizes), SLOT_ROW), "slots")
     pairs = (
-        texts.select("hash", "key", "id", "place", F.col("slots").alias("theirs"))
-        .join(mine, "hash")
-        .groupBy("key", "id", "item_key", "item", "total", "exact")
-        .agg(F.count_distinct("at").alias("places"), F.collect_list(F.struct("place", "at", "mine", "theirs")).alias("hits"))
-        .where(F.col("places") >= COVERAGE * F.col("total"))
+        covered.join(items, "entry")
+        .join(slots, ["id", "text_hash", "hash"])
+        .groupBy("id", "text_hash", "entry", "item", "total", "exact")
+        .agg(F.collect_list(F.struct("place", "at", "mine", "theirs")).alias("hits"))
     )
-    judged = pairs.select("key", "id", "item", "total", "exact", "hits").mapInArrow(_judge_pairs, "key long, id long, item long, coverage double, changed boolean")
-    return (
-        judged.groupBy("key", "id")
-        .agg(F.array_sort(F.collect_set("item")).alias("item_ids"), F.max("coverage").alias("coverage"), F.bool_or("changed").alias("reparameterised"))
-        .select("id", "item_ids", "coverage", "reparameterised")
+    judged = pairs.mapInArrow(_judge_pairs, "id long, text_hash long, item long, coverage double, changed boolean")
+    return ws.stage(
+        judged.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set("item")).alias("item_ids"), F.max("coverage").alias("coverage"), F.bool_or("changed").alias("reparameterised")), "held"
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``docs`` without the documents that hold an item; columns unchanged."""
-    from pyspark.sql.pandas.functions import arrow_udf
-    from pyspark.sql.types import BooleanType
-
-    if not _bounded(benchmark, "text", broadcast_bytes):
-        found = Workspace(docs.sparkSession, "contaminated").stage(contaminated(docs, benchmark, id_col, text_col, item_col, broadcast_bytes=broadcast_bytes), "found")
-        return docs.join(found.select(F.col("id").alias("_tf_id")).distinct(), docs[id_col].cast("long").eqNullSafe(F.col("_tf_id")), "left_anti")
+def contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    broadcast_hashes: int = BROADCAST_IDS,
+) -> DataFrame:
+    """One row per document that holds an item: ``id, item_ids, coverage`` (largest), ``reparameterised`` (any item with other values)."""
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(_index(benchmark, item_col, "text"))
+    rows, unique = keyed(docs, id_col, text_col)
+    held = _held(Workspace(docs.sparkSession, "decontamination"), rows, benchmark, item_col, item_text_col, broadcast_hashes)
+    if not unique:  # a row for each of the rows that repeat an identifier
+        held = rows.select("id", "text_hash").join(held.hint("merge"), ["id", "text_hash"])
+    return held.select(F.nullif("id", F.lit(NULL_ID)).alias("id"), "item_ids", "coverage", "reparameterised")
 
-    @arrow_udf(BooleanType())
-    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            yield pa.array([not shared.value.find(t.as_py()) for t in texts], pa.bool_())
 
-    return docs.where(clean(F.col(text_col)))
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", broadcast_hashes: int = BROADCAST_IDS) -> DataFrame:
+    """``docs`` without the documents that hold an item; columns unchanged."""
+    small_batches(docs.sparkSession)
+    rows, unique = keyed(docs, id_col, text_col)
+    held = _held(Workspace(docs.sparkSession, "contaminated"), rows, benchmark, item_col, "text", broadcast_hashes)
+    own = F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID))
+    if unique:
+        return docs.join(id_side(held.select(F.col("id").alias("_tf_id"))), own == F.col("_tf_id"), "left_anti")
+    lost = held.select(F.col("id").alias("_tf_id"), F.col("text_hash").alias("_tf_hash")).hint("merge")
+    return docs.join(lost, (own == F.col("_tf_id")) & (F.xxhash64(docs[text_col]) == F.col("_tf_hash")), "left_anti")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
