@@ -1,10 +1,20 @@
 """Pseudo-likelihood: against a plain loop, gradients, training, edge rows."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tomeflow.llm import lm
-from tomeflow.llm.lm import Network, Words, contexts, score_documents, train
+from tomeflow.llm.lm import TOKEN, Network, Words, contexts, op6_lm_score, score_documents, tokenised, train, vocabulary_of
+
+
+def fit(docs, rounds=lm.ROUNDS):
+    words = vocabulary_of(docs)
+    return train(tokenised(docs, words), words, rounds), words
+
+
+def scored(docs, net, words):
+    return score_documents(tokenised(docs, words), net, words)
 
 
 def plain_score(net, tokens):
@@ -22,7 +32,7 @@ def plain_score(net, tokens):
 def test_scores_are_those_of_a_plain_loop(monkeypatch):
     rng = np.random.default_rng(0)
     net = Network(rng.normal(0, 0.3, Network.SIZE))
-    docs = [rng.integers(0, lm.VOCABULARY, n) for n in (0, 1, 2, 7, 40, 5)]
+    docs = [rng.integers(0, lm.VOCABULARY, n).astype(TOKEN) for n in (0, 1, 2, 7, 40, 5)]
     want = [plain_score(net, d) for d in docs]
     assert np.allclose(net.scores(docs), want, rtol=1e-4)
     monkeypatch.setattr(lm, "BLOCK", 6)
@@ -58,23 +68,23 @@ def test_training_tells_order_from_noise(spark):
     ordered = [" ".join(cycle[(s + k) % 40] for k in range(200)) for s in rng.integers(0, 40, 150)]
     rows = [(i, t, 0) for i, t in enumerate(ordered)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int").repartition(2)
-    net, frequent = train(docs, rounds=6)
+    net, frequent = fit(docs, rounds=6)
     shuffled = [" ".join(rng.permutation(t.split())) for t in ordered[:20]]
     both = spark.createDataFrame([(i, t) for i, t in enumerate(ordered[:20])] + [(100 + i, t) for i, t in enumerate(shuffled)], "doc_id long, text string")
-    score = {r.id: r.log_likelihood for r in score_documents(both, net, frequent).collect()}
+    score = {r.id: r.log_likelihood for r in scored(both, net, frequent).collect()}
     assert sum(score[i] > score[100 + i] for i in range(20)) >= 18
 
 
 def test_edge_rows(spark):
     rows = [(1, None), (1, ""), (None, "a b"), (2, "a"), (3, "word " * 40000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    net, frequent = train(docs)
-    got = score_documents(docs, net, frequent).collect()
-    assert [(r.id, r.n_tokens) for r in got] == [(1, 0), (1, 0), (None, 2), (2, 1), (3, 40000)]
+    net, frequent = fit(docs)
+    got = sorted(scored(docs, net, frequent).collect(), key=lambda r: (r.n_tokens, r.id is None))
+    assert [(r.id, r.n_tokens) for r in got] == [(1, 0), (1, 0), (2, 1), (None, 2), (3, 40000)]
     assert got[0].log_likelihood == 0 and got[0].perplexity == 1 and all(np.isfinite(r.log_likelihood) for r in got)
     empty = docs.limit(0)
-    net, frequent = train(empty)
-    assert frequent == [] and score_documents(empty, net, frequent).count() == 0
+    net, frequent = fit(empty)
+    assert frequent == [] and scored(empty, net, frequent).count() == 0
 
 
 def test_unknown_words_keep_their_class_when_the_table_is_emptied(monkeypatch):
@@ -88,7 +98,7 @@ def test_rare_words_keep_their_own_counts(spark):
     rng = np.random.default_rng(2)
     known = [f"v{i}" for i in range(3000)]
     rows = [(i, " ".join(["the", "of"] * 40 + [known[j] for j in rng.integers(0, 3000, 120) ** 2 // 3000])) for i in range(60)]
-    net, words = train(spark.createDataFrame(rows, "doc_id long, text string"))
+    net, words = fit(spark.createDataFrame(rows, "doc_id long, text string"))
     counts = {}
     for _, text in rows:
         for w in text.split():
@@ -96,7 +106,7 @@ def test_rare_words_keep_their_own_counts(spark):
     others = [w for w in counts if w not in words]
     assert len(words) == lm.FREQUENT and {counts[w] for w in others} >= {1, 2}
     texts = ["the " + w for w in others] + ["the zzz"]
-    got = {r.id: r.log_likelihood for r in score_documents(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), net, words).collect()}
+    got = {r.id: r.log_likelihood for r in scored(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), net, words).collect()}
     table, classes = Words(list(words)), lm.VOCABULARY - lm.FREQUENT
     totals = np.zeros(lm.VOCABULARY)
     for w in others:
@@ -114,3 +124,22 @@ def test_every_token_is_a_target_once():
         for rounds in (1, lm.ROUNDS, 6):
             places = np.concatenate([lm.hidden_places(tokens, turn, rounds) for turn in range(rounds)])
             assert sorted(places.tolist()) == list(range(n))
+
+
+def test_repeated_rows_score_alike_in_the_query(spark, tmp_path):
+    text = " ".join(f"w{i % 7}" for i in range(50))
+    docs = spark.createDataFrame([(1, text, 5), (1, text, 5), (2, text, 5), (3, "w1 w2", 5)], "doc_id long, text string, part int").repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = op6_lm_score(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "n_tokens", "log_likelihood", "perplexity"]
+    rows = got.collect()
+    assert sorted(r.doc_id for r in rows) == [1, 1, 2, 3]
+    assert len({round(r.log_likelihood, 9) for r in rows if r.doc_id != 3}) == 1
+
+
+def test_sums_are_added_in_a_tree(spark):
+    part = np.ones(Network.SIZE + 1)
+    parts = spark.range(0, 300, 1, 300).mapInArrow(lambda it: (pa.RecordBatch.from_pydict({"part": pa.array([part.tobytes()] * b.num_rows, pa.binary())}) for b in it), "part binary")
+    added = lm._summed(parts)
+    assert added.rdd.getNumPartitions() <= lm.SUMMED
+    assert sum(np.frombuffer(r.part)[0] for r in added.collect()) == 300

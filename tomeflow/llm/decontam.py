@@ -124,29 +124,22 @@ class _Words(dict):
 _WORDS = _Words()
 
 
-def canonical(text: str | None, openings: bool = False) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
-    """``(token hashes, slot flags, words, place of each token's word)`` of a text; ``openings``: names may open sentences."""
-    return _canonical(*_typed_words(text), openings)[:4]
+Form = tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]
 
 
-def _typed_words(text: str | None) -> tuple[list[str], np.ndarray]:
-    words = (text or "").split()
-    return words, np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+def canonical(text: str | None, openings: bool = False) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """``(token hashes, slot flags, words, place of each token's word)`` of a text; ``openings``: names may open sentences."""
+    return forms(text)[-1 if openings else 0][:4]
 
 
-def forms(text: str | None) -> list[tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]]:
+def forms(text: str | None) -> list[Form]:
     """A text with sentence openings as words and, where that differs, as names; the last array marks such names."""
-    words, t = _typed_words(text)
-    first = _canonical(words, t, False)
-    if not first[4].any():
-        return [first]
-    return [first, _canonical(words, t, True)]
-
-
-def _canonical(words: list[str], t: np.ndarray, openings: bool) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]:
+    words = (text or "").split()
+    t = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
     at = np.arange(len(words))
-    flags = (t & np.uint64(FLAGS)).astype(np.int64)
-    opening = np.concatenate(([True], (flags[:-1] & ENDS) > 0)) if len(t) else np.zeros(0, bool)
+    flags = t.astype(np.uint8) & np.uint8(FLAGS)
+    opening = np.ones(len(t), bool)
+    opening[1:] = (flags[:-1] & ENDS) > 0
     real = (flags & SKIP) == 0
     # A skipped token hands its sentence end on to the next word.
     if not real.all():
@@ -155,19 +148,28 @@ def _canonical(words: list[str], t: np.ndarray, openings: bool) -> tuple[np.ndar
         before = np.concatenate(([-1], last[:-1]))
         opening = run > before
         t, flags, at, opening = t[real], flags[real], at[real], opening[real]
-    slot = np.where((flags & NUMBER) > 0, NUMBER, 0)
-    previous = np.concatenate(([0], slot[:-1])) if len(slot) else slot
-    slot = np.where(((flags & UNIT) > 0) & (previous == NUMBER) & (slot == 0), UNIT, slot)
-    doubtful = opening & ((flags & (NAME | FUNCTION)) == NAME) & (slot == 0)
-    slot = np.where(((flags & NAME) > 0) & (~opening | doubtful & openings) & (slot == 0), NAME, slot)
-    h = np.where(slot > 0, np.uint64(0), t >> np.uint64(FLAG_BITS) << np.uint64(FLAG_BITS))
-    for kind, value in _SLOT.items():
-        h[slot == kind] = value
+    number = (flags & NUMBER) > 0
+    slot = np.where(number, np.uint8(NUMBER), np.uint8(0))
+    unit = np.flatnonzero((flags & UNIT) > 0)
+    unit = unit[(unit > 0) & ~number[unit] & number[unit - 1]]
+    slot[unit] = UNIT
+    free = slot == 0
+    doubtful = opening & ((flags & (NAME | FUNCTION)) == NAME) & free
+    name = ((flags & NAME) > 0) & ~opening & free
     glued = (flags & GLUED) > 0
+    h = t & ~np.uint64(FLAGS)
+    h[number], h[unit] = _SLOT[NUMBER], _SLOT[UNIT]
+    parts = (words, at, opening, doubtful, glued if glued.any() else None)
+    first = _with_names(h, slot, name, *parts)
+    return [first, _with_names(h, slot, name | doubtful, *parts)] if doubtful.any() else [first]
+
+
+def _with_names(h: np.ndarray, slot: np.ndarray, name: np.ndarray, words: list[str], at: np.ndarray, opening: np.ndarray, doubtful: np.ndarray, glued: np.ndarray | None) -> Form:
+    """The form in which ``name`` marks the names."""
+    h, slot = np.where(name, np.uint64(_SLOT[NAME]), h), np.where(name, np.uint8(NAME), slot)
     keep = np.ones(len(h), bool)
-    if len(h):
-        keep[1:] = ~((slot[1:] == NAME) & (slot[:-1] == NAME) & ~opening[1:])  # a run of names in a sentence is one slot
-    if glued.any():
+    keep[1:] = ~(name[1:] & name[:-1] & ~opening[1:])  # a run of names in a sentence is one slot
+    if glued is not None:
         again = 1 + glued
         first = np.repeat(np.cumsum(again) - again, again)
         second = np.arange(int(again.sum())) > first
@@ -323,16 +325,15 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _hash_rows(sizes: list[int], raw_sizes: list[int]):
-    """Distinct window hashes of documents."""
+    """Window hashes of documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owner, found = [], []
             for k, text in enumerate(batch.column(2)):
                 hashes = [h for _, _, h, _ in document_windows(text.as_py(), sizes, raw_sizes)]
-                if hashes and len(x := np.unique(np.concatenate(hashes))):
-                    found.append(x)
-                    owner.append(np.full(len(x), k))
+                found += hashes
+                owner.append(np.full(sum(map(len, hashes)), k))
             if found:
                 rows = pa.array(np.concatenate(owner))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), _signed(np.concatenate(found))], ["id", "text_hash", "hash"])

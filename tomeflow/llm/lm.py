@@ -6,13 +6,15 @@ its tokens, each predicted from both sides.
 
 1. Word counts of the whole corpus, written as a table, give the vocabulary: the most
    frequent words are tokens, every other word belongs to a token by its hash.
-2. Training: in each of ``ROUNDS`` rounds every partition starts from the shared weights
+2. Documents are tokenised once, into a written table of their tokens and of the words
+   that have no token of their own; training and scoring read that.
+3. Training: in each of ``ROUNDS`` rounds every partition starts from the shared weights
    and takes gradient steps over its own documents, with every ``ROUNDS``-th token hidden
    (which ones follows from the text and the round), so that over the rounds every token
    of the corpus is predicted once; the weights are averaged by tokens.
-   Sums are added in two levels, so the driver gets ``SUMMED`` fixed-size rows however
-   many partitions there are.
-3. Scoring is a pass over the documents with the weights, of fixed size, in hand, which
+   Sums are added in a tree, so a task adds ``SUMMED`` fixed-size rows and the driver
+   gets as many at most, however many partitions there are.
+4. Scoring is a pass over the tokens with the weights, of fixed size, in hand, which
    gives P(token | context).  A word without a token of its own has the probability
    P(token | context) * P(word | token), the latter its count among those of the token's
    words: documents' distinct words are joined with the table of counts.  A word that the
@@ -22,7 +24,8 @@ The softmax is factored: a token is a class and a place in it, 32 x 32 values.
 
 Defined results: a null or empty text has no tokens, the score 0 and a perplexity of 1;
 texts are scored whole, in blocks of bounded size; repeated rows and null identifiers
-are scored one by one; words are told apart by 64 bits of hash; an empty table gives an empty result; other columns are not read.
+are scored one by one and alike; the weights follow from how documents are dealt to partitions, as each takes
+steps of its own, so another partitioning gives slightly other scores; words are told apart by 64 bits of hash; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -47,12 +50,13 @@ VOCABULARY = CLASSES * PLACES
 FREQUENT = 768  # the rest of the vocabulary are hash classes
 SIDE = 2
 PAD = VOCABULARY
+TOKEN = np.dtype("<i2")  # numpy sorts these by radix
 EMBEDDING, HIDDEN = 8, 24
 ROUNDS = 2
 STEP = 512
 RATE = 0.08
 SUMMED = 16
-BLOCK = 16384
+BLOCK = 4096
 WORD_TABLE = 200_000
 
 
@@ -73,15 +77,18 @@ class Words(dict):
         return token
 
     def tokens(self, text: str | None) -> np.ndarray:
-        words = shingles.split_words(text)
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.of(shingles.split_words(text))
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), TOKEN, len(words))
 
 
 class Vocabulary(list):
     """The words that are tokens, and the counts of all words of the corpus."""
 
-    def __init__(self, frequent: list[str], counted: DataFrame, totals: np.ndarray, others: int):
+    def __init__(self, frequent: list[str], counts: np.ndarray, counted: DataFrame, totals: np.ndarray, others: int):
         super().__init__(frequent)
+        self.counts = counts
         self.counted = counted  # word, n; grows with the corpus and stays a table
         self.totals = totals  # tokens of each hash class
         self.others = others  # distinct words that are no tokens
@@ -99,7 +106,8 @@ class Prints(dict):
 
 def contexts(tokens: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
     """The tokens around each place (or some places), nearest document ends padded."""
-    padded = np.concatenate((np.full(SIDE, PAD), tokens, np.full(SIDE, PAD)))
+    edge = np.full(SIDE, PAD, TOKEN)
+    padded = np.concatenate((edge, tokens, edge))
     places = (np.arange(len(tokens)) if at is None else at) + SIDE
     return np.stack([padded[places + k] for k in range(-SIDE, SIDE + 1) if k], axis=1)
 
@@ -138,7 +146,7 @@ class Network:
         return out
 
     def _hidden(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = self.parts[0][context].reshape(len(context), -1)
+        x = self.parts[0].take(context, axis=0, mode="clip").reshape(len(context), -1)
         return x, np.tanh(x @ self.parts[1] + self.parts[2])
 
     @staticmethod
@@ -157,7 +165,7 @@ class Network:
 
     def _places(self, h: np.ndarray, kind: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
         """Probabilities of the places within each row's class; rows are in the order of their classes."""
-        z = self.parts[6][kind]
+        z = self.parts[6].take(kind, axis=0, mode="clip")
         for c, a, b in spans:
             z[a:b] += h[a:b] @ self.parts[5][c]
         return self._softmax(z)
@@ -168,7 +176,7 @@ class Network:
         out = np.log(self._softmax(h @ self.parts[3] + self.parts[4])[row, target // PLACES])
         order, spans = self._by_class(target)
         sorted_target = target[order]
-        out[order] += np.log(self._places(h[order], sorted_target // PLACES, spans)[row, sorted_target % PLACES])
+        out[order] += np.log(self._places(h.take(order, axis=0), sorted_target // PLACES, spans)[row, sorted_target % PLACES])
         return out
 
     def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -196,8 +204,9 @@ class Network:
         dx = (dz @ self.parts[1].T).reshape(-1, EMBEDDING)
         flat = context.ravel()
         by_token = np.argsort(flat, kind="stable")
-        held, first = np.unique(flat[by_token], return_index=True)
-        grad.parts[0][held] = np.add.reduceat(dx[by_token], first, axis=0)
+        in_order = flat[by_token]
+        first = np.flatnonzero(np.diff(in_order, prepend=-1))
+        grad.parts[0][in_order[first]] = np.add.reduceat(dx.take(by_token, axis=0), first, axis=0)
         return grad.flat / n
 
     def score(self, tokens: np.ndarray) -> float:
@@ -263,9 +272,9 @@ def hidden_places(tokens: np.ndarray, turn: int, rounds: int) -> np.ndarray:
     return np.arange((zlib.crc32(tokens.tobytes()) + turn) % rounds, len(tokens), rounds)
 
 
-def _train_partition(flat: np.ndarray, frequent: list[str], turn: int, rounds: int):
+def _train_partition(flat: np.ndarray, turn: int, rounds: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, words = Network(flat), Words(frequent)
+        net = Network(flat)
         speed = np.full(Network.SIZE, 1e-3, np.float32)
         context, target, held, seen = [], [], 0, 0
 
@@ -275,8 +284,8 @@ def _train_partition(flat: np.ndarray, frequent: list[str], turn: int, rounds: i
             net.flat += RATE * g / np.sqrt(speed)
 
         for batch in batches:
-            for text in batch.column(0):
-                tokens = words.tokens(text.as_py())
+            for tokens in batch.column(0):
+                tokens = np.frombuffer(tokens.as_buffer(), TOKEN)
                 if not len(tokens):
                     continue
                 at = hidden_places(tokens, turn, rounds)
@@ -306,8 +315,32 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"part": pa.array([total.tobytes()], pa.binary())})
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[Network, Vocabulary]:
-    """The network and the words, from all documents."""
+def tokenised(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A written table: ``key, id, n_tokens, tokens``, and the hashes of a row's words without a token of their own with their counts."""
+    frequent = list(vocabulary)
+
+    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, prints = Words(frequent), Prints()
+        for batch in batches:
+            split = [shingles.split_words(t.as_py()) for t in batch.column(2)]
+            tokens = [words.of(w) for w in split]
+            rare = [t >= FREQUENT for t in tokens]
+            found = [np.unique(np.fromiter(map(prints.__getitem__, itertools.compress(w, r.tolist())), np.uint64, int(r.sum())), return_counts=True) for w, r in zip(split, rare)]
+            edge = pa.array(np.cumsum([0] + [len(h) for h, _ in found]), pa.int32())
+            hashes = np.concatenate([h for h, _ in found] or [np.zeros(0, np.uint64)]).view(np.int64)
+            times = np.concatenate([n for _, n in found] or [np.zeros(0, np.int64)])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([len(t) for t in tokens], pa.int64()), pa.array([t.tobytes() for t in tokens], pa.binary()), pa.ListArray.from_arrays(edge, pa.array(hashes)), pa.ListArray.from_arrays(edge, pa.array(times, pa.int64()))],
+                ["key", "id", "n_tokens", "tokens", "words", "times"],
+            )
+
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return Workspace(docs.sparkSession, "tokens").stage(rows.mapInArrow(tokenise, "key long, id long, n_tokens long, tokens binary, words array<long>, times array<long>"), "documents")
+
+
+def vocabulary_of(docs: DataFrame, text_col: str = "text") -> Vocabulary:
+    """The words that are tokens, and the counts of all words, from all documents."""
     small_batches(docs.sparkSession)
     counted = Workspace(docs.sparkSession, "words").stage(word_counts(docs, text_col), "counts")
     # The most frequent words: as many rows as the vocabulary has places.
@@ -319,55 +352,59 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tupl
         others += r["words"]
     for r in top:
         totals[zlib.crc32(r["word"].encode()) % classes] -= r["n"]
-    frequent = [r["word"] for r in top]
+    return Vocabulary([r["word"] for r in top], np.array([r["n"] for r in top], float), counted, totals, others)
+
+
+def train(tokens: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Network:
+    """The network, from all documents of a table of tokens."""
     counts = np.zeros(VOCABULARY)
-    counts[: len(top)] = [r["n"] for r in top]
-    counts[FREQUENT:] = totals
+    counts[: len(vocabulary)] = vocabulary.counts
+    counts[FREQUENT:] = vocabulary.totals
     net = Network.start(counts)
     for turn in range(rounds):
-        parts = docs.select(text_col).mapInArrow(_train_partition(net.flat, frequent, turn, rounds), "part binary")
-        total = sum((np.frombuffer(r["part"]) for r in parts.repartition(SUMMED).mapInArrow(_add, "part binary").collect()), np.zeros(Network.SIZE + 1))
+        parts = tokens.select("tokens").mapInArrow(_train_partition(net.flat, turn, rounds), "part binary")
+        total = sum((np.frombuffer(r["part"]) for r in _summed(parts).collect()), np.zeros(Network.SIZE + 1))
         if total[-1] > 0:
             net = Network(total[:-1] / total[-1])
-    return net, Vocabulary(frequent, counted, totals, others)
+    return net
 
 
-def score_documents(docs: DataFrame, net: Network, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_tokens, log_likelihood, perplexity`` of every row."""
-    small_batches(docs.sparkSession)
-    flat, frequent = net.flat, list(vocabulary)
+def _summed(parts: DataFrame) -> DataFrame:
+    """At most ``SUMMED`` sums of all parts: each level of the tree adds ``SUMMED`` rows in a task."""
+    n = parts.rdd.getNumPartitions()
+    while n > SUMMED:
+        n = -(-n // SUMMED)
+        parts = parts.repartition(n).mapInArrow(_add, "part binary")
+    return parts
+
+
+def score_documents(tokens: DataFrame, net: Network, vocabulary: Vocabulary) -> DataFrame:
+    """``id, n_tokens, log_likelihood, perplexity`` of every row of a table of tokens."""
+    flat = net.flat
     # A class has one count more than its words, for words that the corpus lacks.
     shares = np.concatenate((np.zeros(FREQUENT), -np.log(vocabulary.totals + 1)))
     unseen = -float(np.log(vocabulary.others / len(vocabulary.totals) + 1))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, words, prints = Network(flat), Words(frequent), Prints()
+        network = Network(flat)
         for batch in batches:
-            split = [shingles.split_words(t.as_py()) for t in batch.column(2)]
-            tokens = [np.fromiter(map(words.__getitem__, w), np.int64, len(w)) for w in split]
-            s = network.scores(tokens) + [shares[t].sum() for t in tokens]
-            rare = [t >= FREQUENT for t in tokens]
-            found = [np.unique(np.fromiter(map(prints.__getitem__, itertools.compress(w, r.tolist())), np.uint64, int(r.sum())), return_counts=True) for w, r in zip(split, rare)]
-            edge = pa.array(np.cumsum([0] + [len(h) for h, _ in found]), pa.int32())
-            hashes = np.concatenate([h for h, _ in found] or [np.zeros(0, np.uint64)]).view(np.int64)
-            times = np.concatenate([n for _, n in found] or [np.zeros(0, np.int64)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(t) for t in tokens], pa.int64()), pa.array(s), pa.ListArray.from_arrays(edge, pa.array(hashes)), pa.ListArray.from_arrays(edge, pa.array(times, pa.int64()))],
-                ["key", "id", "n_tokens", "part", "words", "times"],
-            )
+            held = [np.frombuffer(t.as_buffer(), TOKEN) for t in batch.column(3)]
+            part = network.scores(held) + [shares[t].sum() for t in held]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(part)], ["key", "id", "n_tokens", "part"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    scored = Workspace(docs.sparkSession, "scores").stage(rows.mapInArrow(score, "key long, id long, n_tokens long, part double, words array<long>, times array<long>"), "documents")
-    held = scored.select("key", F.explode(F.arrays_zip("words", "times")).alias("w")).select("key", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+    scored = tokens.select("key", "id", "n_tokens", "tokens").mapInArrow(score, "key long, id long, n_tokens long, part double")
+    held = tokens.select("key", F.explode(F.arrays_zip("words", "times")).alias("w")).select("key", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     known = vocabulary.counted.select(F.xxhash64("word").alias("word"), F.log("n").alias("log_n")).groupBy("word").agg(F.max("log_n").alias("log_n"))
     parts = held.join(known, "word", "left").select("key", F.lit(None).cast("long").alias("id"), F.lit(0).cast("long").alias("n_tokens"), (F.col("times") * F.coalesce("log_n", F.lit(unseen))).alias("part"))
-    whole = scored.select("key", "id", "n_tokens", "part").unionByName(parts).groupBy("key").agg(F.max("id").alias("id"), F.sum("n_tokens").alias("n_tokens"), F.sum("part").alias("log_likelihood")).orderBy("key")
+    whole = scored.unionByName(parts).groupBy("key").agg(F.max("id").alias("id"), F.sum("n_tokens").alias("n_tokens"), F.sum("part").alias("log_likelihood"))
     return whole.select("id", "n_tokens", "log_likelihood", F.exp(-F.col("log_likelihood") / F.greatest("n_tokens", F.lit(1))).alias("perplexity"))
 
 
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return score_documents(docs, *train(docs)).withColumnRenamed("id", "doc_id")
+    vocabulary = vocabulary_of(docs)
+    tokens = tokenised(docs, vocabulary)
+    return score_documents(tokens, train(tokens, vocabulary), vocabulary).withColumnRenamed("id", "doc_id")
 
 
 SQL: dict[str, str] = {}
