@@ -38,7 +38,7 @@ def test_file_round_trip():
 
 def texts():
     rng = random.Random(2)
-    out = ["", " ", "  a", "a  b", "a\n \nb", "a\n b c", " lead", "tail \n", "<|endoftext|> x", "日本語 テキスト", "x\x85 y", "one\x1c two", "z" * 3000]
+    out = ["", " ", "  a", "a  b", "a\n \nb", "a\n b c", " lead", "tail \n", "<|endoftext|> x", "a <|endoftext|> b", "x<|endoftext|>y z <|endoftext|", "the <| endoftext |>", "日本語 テキスト", "x\x85 y", "one\x1c two", "z" * 3000]
     pool = ["the", "Straße", "naïve", "x1", "…", "\n", " ", "\t", "don't", "🎉", "\xa0", "　", "''s", "A.B"]
     out += ["".join(rng.choice(pool) + rng.choice(["", " ", "  "]) for _ in range(rng.randrange(40))) for _ in range(300)]
     return out
@@ -46,7 +46,6 @@ def texts():
 
 def test_piecewise_ids_are_the_librarys(monkeypatch):
     library = Tokenizer.from_file(VOCAB)
-    library.encode_special_tokens = True
     encode, _, _ = wavelet._library(VOCAB)
     for _ in range(2):  # the second time from the table
         for t, ids in zip(texts(), encode(texts()), strict=True):
@@ -60,7 +59,6 @@ def test_piecewise_ids_are_the_librarys(monkeypatch):
 
 def test_shards_hold_every_document_in_order(spark):
     library = Tokenizer.from_file(VOCAB)
-    library.encode_special_tokens = True
     rows = [(i * 3, t, "c") for i, t in enumerate(texts())] + [(None, "null id", "c"), (6, None, "c"), (6, "again", "c")]
     random.Random(1).shuffle(rows)
     docs = spark.createDataFrame(rows, "id long, text string, start string")
@@ -81,3 +79,19 @@ def test_shards_hold_every_document_in_order(spark):
 def test_empty_table(spark):
     manifest = write_shards(spark.createDataFrame([], "doc_id long, text string"), VOCAB)
     assert read_documents(manifest).count() == 0
+
+
+def test_the_query_gives_the_librarys_ids_of_long_texts_too(spark, tmp_path):
+    import public_tokenizers
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(4, "word and ünit " * 20_000, 1), (2, "a <|endoftext|> b", 1), (7, None, 1), (9, "", 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, start int").write.parquet(f"{tmp_path}/documents.parquet")
+    got = wavelet.op10_wavelet_output(spark, str(tmp_path))
+    assert got.dtypes == [("doc_id", "bigint"), ("start", "bigint"), ("n_tokens", "bigint"), ("ids_crc32", "bigint")]
+    want, start = [], 0
+    for i, text, _ in sorted(rows):
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, got.collect())) == want

@@ -106,10 +106,10 @@ class Codec:
         merged = iter(self.model.encode(rest, num_threads=1) if rest else ())
         return [[w] if w is not None else [i - 1 for i in next(merged)] for w in whole]
 
-    def _encode_strings(self, strings: list[str]) -> list[bytes]:
+    def _encode_strings(self, strings: list[str], plain: int = 0) -> list[bytes]:
         found: dict[int, bytes] = {}
         if self.pieces:  # many short strings: they are split and merged as lines of one text
-            at, text, counts = pretokens.as_lines(strings)
+            at, text, counts = pretokens.as_lines(strings, plain)
             if at:
                 ids = np.array([i for merged in self._merge(self.find(text)) for i in merged], "<u4")
                 found = pretokens.split_lines(at, counts, ids, self.ranks[b"\n"]) or {}

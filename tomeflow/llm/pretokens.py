@@ -30,13 +30,16 @@ def is_plain(piece: str) -> bool:
     return piece != "" and not piece[0].isspace() and not piece[-1].isspace()
 
 
-def as_lines(strings: list[str]) -> tuple[list[int], str, list[int]]:
+def as_lines(strings: list[str], plain: int = 0) -> tuple[list[int], str, list[int]]:
     """Strings that can be lines of one text: their places, the text, and how many lines each has.
 
+    The first ``plain`` strings are a space and a plain piece each.
+
     In that text every line break is a pre-token of its own: no other white space is beside it but
     the one space that a line may begin with.
     """
-    at = [k for k, s in enumerate(strings) if not s[-1].isspace() and not (s[1] if s[0] == " " and len(s) > 1 else s[0]).isspace()]
+    at = [*range(plain)]
+    at += [k for k, s in enumerate(strings[plain:], plain) if not s[-1].isspace() and not (s[1] if s[0] == " " and len(s) > 1 else s[0]).isspace()]
     chosen = [strings[k] for k in at]
     text = "\n".join(chosen)
     odd = "\n\n" in text or "\n \n" in text or not text.isascii() or "\t" in text or "\r" in text or "\v" in text or "\f" in text
@@ -64,10 +67,14 @@ def split_lines(at: list[int], counts: list[int], ids: np.ndarray, line_break: i
 
 
 class PieceEncoder:
-    """Ids of texts through ``encode``, which gives the ids of each of a list of strings, as bytes of ``dtype``."""
+    """Ids of texts through ``encode``, which gives the ids of each of a list of strings, as bytes of ``dtype``.
+
+    Its second argument is how many of the strings, from the first on, are a space and a plain piece.
+    Texts that hold one of the strings ``whole`` (tokens that reach over spaces) are encoded as they are.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], dtype: str):
-        self.encode, self.dtype = encode, np.dtype(dtype)
+    def __init__(self, encode: Callable[[list[str], int], list[bytes]], dtype: str, whole: tuple[str, ...] = ()):
+        self.encode, self.dtype, self.whole = encode, np.dtype(dtype), whole
         self.table: dict[str, bytes] = {}
 
     def _group(self, texts: pa.Array) -> Iterator[np.ndarray]:
@@ -92,10 +99,12 @@ class PieceEncoder:
         strange = np.zeros(len(inner), bool)
         strange[odd] = True
         is_odd = np.add.reduceat(strange[at], offsets[:-1]) > 0 if odd else np.zeros(len(texts), bool)
+        for string in self.whole:
+            is_odd = is_odd | pc.match_substring(texts, string).to_numpy(zero_copy_only=False)
         new = [k for k in unknown if inner[k] and not strange[k]]
-        whole = texts.filter(pa.array(is_odd)).to_pylist() if odd else []
+        whole = texts.filter(pa.array(is_odd)).to_pylist() if is_odd.any() else []
         wanted = [k for k, h in enumerate(heads) if h and not strange[len(pieces) + k]]
-        ids = self.encode([" " + pieces[k] for k in new] + [heads[k] for k in wanted] + whole)
+        ids = self.encode([" " + pieces[k] for k in new] + [heads[k] for k in wanted] + whole, len(new))
         for k, b in zip(new, ids):
             known[k] = b
         opened: list[bytes] = [b""] * len(heads)

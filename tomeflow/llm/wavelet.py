@@ -21,6 +21,7 @@ and an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import json
 import zlib
@@ -184,11 +185,10 @@ def _library(path: str):
     from tokenizers import Tokenizer, pre_tokenizers
 
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True  # their strings in a text are ordinary text
     run = functools.partial(library.encode_batch_fast, add_special_tokens=False)
     # The same tokenizer for pre-tokens that are given one by one, their bytes mapped: its pattern has nothing left to do.
     by_word = Tokenizer.from_file(path)
-    by_word.encode_special_tokens = True
+    by_word.encode_special_tokens = True  # no text with an added token is cut into pre-tokens
     by_word.pre_tokenizer = pre_tokenizers.Sequence([])
     mapping = dict(enumerate(byte_alphabet()))
     end_id = run(["\n"])[0].ids
@@ -201,11 +201,15 @@ def _library(path: str):
     dtype = "<u2" if size <= 1 << 16 else "<u4"
     find = regex.compile(pretokens.WORD_SPACE_PATTERN).findall
 
-    def encode(strings: list[str]) -> list[bytes]:
+    added = tuple(t.content for t in library.get_added_tokens_decoder().values())
+
+    def encode(strings: list[str], plain: int) -> list[bytes]:
         # Latin strings, on whose letters all Unicode versions agree, are split here and given as pre-tokens of one text.
         found: dict[int, bytes] = {}
-        latin = [k for k, s in enumerate(strings) if max(s) < "\u0250"]
-        at, text, counts = pretokens.as_lines([strings[k] for k in latin])
+        latin = [k for k, s in enumerate(strings) if s.isascii() or max(s) < "\u0250"]
+        first = bisect.bisect_left(latin, plain)
+        latin = latin[:first] + [k for k in latin[first:] if not any(x in strings[k] for x in added)]
+        at, text, counts = pretokens.as_lines([strings[k] for k in latin], first)
         if at and len(end_id) == 1:
             mapped = "\0".join(find(text)).encode().decode("latin-1").translate(mapping).split(mapping[0])
             if "\0" not in text:
@@ -219,7 +223,7 @@ def _library(path: str):
     def whole_texts(texts: pa.Array | list[str]) -> Iterator[np.ndarray]:
         return (np.array(run([t or ""])[0].ids, dtype) for t in (texts.to_pylist() if isinstance(texts, pa.Array) else texts))
 
-    return pretokens.PieceEncoder(encode, dtype).many if cuttable else whole_texts, dtype, max(1, (size - 1).bit_length())
+    return pretokens.PieceEncoder(encode, dtype, added).many if cuttable else whole_texts, dtype, max(1, (size - 1).bit_length())
 
 
 def _filesystem(uri: str):
