@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tomeflow.llm import substring
 from tomeflow.llm.substring import WINDOW, remove_repeats
@@ -57,14 +58,21 @@ def test_removed_words_are_those_of_all_windows(spark, monkeypatch, seed, block)
     assert got(remove_repeats(docs)) == brute(rows)
 
 
-def test_blocks_of_any_size_settle_alike():
+@pytest.mark.parametrize("heavy", [[], [2], [0, 1, 2, 3]])
+def test_blocks_of_any_size_settle_alike(heavy):
     rows = [(i, i * 7, substring.shingles.split_words(t, False)) for i, t in sorted(sample(4)) if t]
     docs = [r for r in rows if len(r[2]) >= WINDOW]
     want = {(i, n, g) for i, n, g, _ in brute(sample(4)) if n >= WINDOW}
     for size in (1, 3, 1000):
-        packed = [r for k in range(0, len(docs), size) for r in substring._block_rows(docs[k : k + size], 4)]
+        packed = []
+        for k in range(0, len(docs), size):
+            block = substring.Block(docs[k : k + size], 4)
+            words = int(block.sizes()[1].sum())
+            block.split(np.array(heavy, np.int64), 4, 3)
+            packed += block.rows(4)
+            assert len(heavy) or int(block.sizes()[1].sum()) == words
         gone = {i: np.zeros(len(w), bool) for i, _, w in docs}
-        for bucket in range(4):
+        for bucket in range(7):
             mine = [r for r in packed if r[0] == bucket]
             if mine:
                 table = substring.pa.Table.from_batches([substring._table(mine, substring.ROW)])
@@ -90,3 +98,31 @@ def test_repeated_and_null_identifiers(spark):
 
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_one_phrase_in_every_document(spark, monkeypatch):
+    """The phrase's minimiser would fill one bucket: its windows are dealt by their whole hashes."""
+    rng = random.Random(6)
+    vocab = [f"w{i}" for i in range(5000)]
+    text = lambda n: [rng.choice(vocab) for _ in range(n)]
+    shared = text(70)
+    rows = [(i, " ".join(text(25) + "it is said by all who know the place well and long".split() + text(25) + (shared if i % 9 == 0 else []))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(substring, "BLOCK_WORDS", 2000)
+    monkeypatch.setattr(substring, "BUCKET_BYTES", 20_000)
+    keyed, _ = substring.keyed(docs, "doc_id", "text")
+    buckets = substring.bucket_count(keyed, "text")
+    heavy, more = substring.heavy_buckets(keyed, buckets)
+    assert 0 < len(heavy) < buckets / 4
+    sizes = lambda h, m: [len(r.pack or b"") for r in keyed.mapInArrow(substring._super_kmers(buckets, h, m), "bucket long, pack binary, id long, text_hash long, runs binary").groupBy("bucket").agg(F.first("bucket").alias("b"), F.concat_ws("", F.collect_list(F.base64("pack"))).alias("pack")).collect()]
+    assert max(sizes(heavy, more)) < max(sizes(heavy[:0], 1)) / 2
+    assert got(remove_repeats(docs)) == brute(rows)
+
+
+def test_a_very_long_text_and_the_querys_columns(spark, tmp_path):
+    words = [f"w{i}" for i in range(200_000)]
+    rows = [(1, " ".join(words + words[1000:1100]), "x"), (2, "y" * 500_000, "x"), (3, " ".join(words[:150_000]), "x"), (4, None, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string, runs string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = substring.op5_substring_dedup(spark, str(tmp_path))
+    assert found.dtypes == [("doc_id", "bigint"), ("n_words", "bigint"), ("n_removed", "bigint"), ("kept_sha256", "string")]
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in found.collect()) == [(1, 200_100, 100), (2, 1, 0), (3, 150_000, 150_000), (4, 0, 0)]

@@ -13,7 +13,13 @@ words removed.
    compressed.
 3. A bucket sorts its windows.  Windows of equal hash are compared word for word (by
    64-bit word hashes, 20 of them), and all but the first start of each are listed.
-4. The listed windows come back to their documents, whose covered words go.
+4. The listed windows come back to their documents, whose covered words go.  Documents
+   that lose nothing are not moved, as far as the others' identifiers can be broadcast.
+
+A minimiser that very many texts have, each in another context, would fill a bucket.
+So a pass before counts the bytes that each bucket is going to get.  Of the ``HEAVY``
+fullest at most, those of more than ``HEAVY_TIMES`` the usual size are split: their windows
+travel one by one, to a bucket of their whole hash.
 
 Memory: a block holds ``BLOCK_WORDS`` words or one document; a bucket about
 ``BUCKET_BYTES`` of text, as the number of buckets follows the size of the input.
@@ -37,11 +43,13 @@ from pyspark.sql import functions as F
 
 from tomeflow.llm import shingles
 from tomeflow.llm.batches import small_batches
+from tomeflow.llm.joins import BROADCAST_IDS, NULL_ID, id_side, keyed
+from tomeflow.workspace import Workspace
 
 WINDOW, MINIMISER = 20, 3
 BLOCK_WORDS = 1_000_000
 BUCKET_BYTES = 12 << 20
-NULL_ID = -(1 << 63)
+HEAVY, HEAVY_TIMES = 100_000, 4
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -110,60 +118,96 @@ def _packed_runs(ids: np.ndarray, hashes: np.ndarray, starts: np.ndarray) -> Ite
         yield int(ids[cut[lo]]), int(hashes[cut[lo]]), runs[:, lo:hi].tobytes()
 
 
-def _block_rows(docs: list[tuple[int, int, list[bytes]]], buckets: int) -> Iterator[tuple]:
-    """Rows of one block: packed super-k-mers by bucket, and the runs settled here by document."""
-    if not docs:
-        return
-    sizes = np.array([len(w) for *_, w in docs], np.int64)
-    base = np.concatenate(([0], np.cumsum(sizes)))
-    words = np.concatenate([shingles.word_hashes(w) for *_, w in docs])
-    flat = [w for *_, ws in docs for w in ws]
-    valid = np.ones(len(words), bool)  # starts of windows that lie within one document
-    for k in range(1, WINDOW):
-        valid[base[1:] - k] = False
-    starts = np.flatnonzero(valid)
-    doc_of = np.searchsorted(base, starts, side="right") - 1
-    ids, hashes = np.array([d[:2] for d in docs], np.int64).T
-    local = starts - base[doc_of]
-    rank = np.unique(ids, return_inverse=True)[1][doc_of].astype(np.int64) << 32 | local
-    later = _later_starts(shingles.windows(words, WINDOW)[starts], rank, _same_words(words, starts))
-    settled = doc_of[later]
-    for doc, text_hash, runs in _packed_runs(ids[settled], hashes[settled], local[later]):
-        yield int(shingles.mix(np.array([doc]).view(np.uint64))[0] % np.uint64(buckets)), None, doc, text_hash, runs
-
-    # Super-k-mers: runs of neighbouring open windows of one minimiser.
-    least = sliding_min(shingles.windows(words, MINIMISER), WINDOW - MINIMISER + 1)[starts]
-    s, m, d = starts[~later], least[~later], doc_of[~later]
-    if not len(s):
-        return
-    cut = np.flatnonzero(np.concatenate(([True], (np.diff(s) != 1) | (m[1:] != m[:-1]) | (np.diff(d) != 0))))
-    length = np.diff(np.append(cut, len(s)))
-    begin, owner = s[cut], d[cut]
-    bucket = (shingles.mix(m[cut]) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    pack, _ = _zstd()
-    for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-        head = np.stack([ids[owner[part]], hashes[owner[part]], begin[part] - base[owner[part]], length[part]]).astype("<i8")
-        body = b"\n".join(b" ".join(flat[b : b + n + WINDOW - 1]) for b, n in zip(begin[part].tolist(), length[part].tolist()))
-        yield int(bucket[part[0]]), pack.compress(len(part).to_bytes(8, "little") + head.tobytes() + body), None, None, None
-
-
-ROW = pa.schema([("bucket", pa.int64()), ("pack", pa.binary()), ("id", pa.int64()), ("hash", pa.int64()), ("runs", pa.binary())])
-RUNS = pa.schema([("id", pa.int64()), ("hash", pa.int64()), ("runs", pa.binary())])
+class Block:
+    """Documents held together: windows settled here, and the super-k-mers of the open ones with their buckets."""
+
+    def __init__(self, docs: list[tuple[int, int, list[bytes]]], buckets: int):
+        sizes = np.array([len(w) for *_, w in docs], np.int64)
+        self.base = np.concatenate(([0], np.cumsum(sizes)))
+        words = np.concatenate([shingles.word_hashes(w) for *_, w in docs])
+        self.flat = [w for *_, ws in docs for w in ws]
+        valid = np.ones(len(words), bool)  # starts of windows that lie within one document
+        for k in range(1, WINDOW):
+            valid[self.base[1:] - k] = False
+        starts = np.flatnonzero(valid)
+        doc_of = np.searchsorted(self.base, starts, side="right") - 1
+        self.ids, self.hashes = np.array([d[:2] for d in docs], np.int64).T
+        local = starts - self.base[doc_of]
+        rank = np.unique(self.ids, return_inverse=True)[1][doc_of].astype(np.int64) << 32 | local
+        self.windows = shingles.windows(words, WINDOW)
+        later = _later_starts(self.windows[starts], rank, _same_words(words, starts))
+        self.settled, self.settled_at = doc_of[later], local[later]
+        # Super-k-mers: runs of neighbouring open windows of one minimiser.
+        least = sliding_min(shingles.windows(words, MINIMISER), WINDOW - MINIMISER + 1)[starts]
+        s, m, d = starts[~later], least[~later], doc_of[~later]
+        cut = np.flatnonzero(np.concatenate((np.ones(min(len(s), 1), bool), (np.diff(s) != 1) | (m[1:] != m[:-1]) | (np.diff(d) != 0))))
+        self.length = np.diff(np.append(cut, len(s)))
+        self.begin, self.owner = s[cut], d[cut]
+        self.bucket = (shingles.mix(m[cut]) % np.uint64(buckets)).astype(np.int64)
+
+    def split(self, heavy: np.ndarray, buckets: int, more: int) -> None:
+        """Cut the super-k-mers of heavy buckets into single windows, which go to ``more`` buckets after the others."""
+        full = np.isin(self.bucket, heavy)
+        if not full.any():
+            return
+        begin, length, owner = self.begin[full], self.length[full], self.owner[full]
+        at = np.repeat(begin, length) + np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+        place = buckets + (shingles.mix(self.windows[at]) % np.uint64(more)).astype(np.int64)
+        join = lambda kept, new: np.concatenate((kept[~full], new))
+        self.begin, self.owner, self.bucket = join(self.begin, at), join(self.owner, np.repeat(owner, length)), join(self.bucket, place)
+        self.length = join(self.length, np.ones(len(at), np.int64))
+
+    def rows(self, buckets: int) -> Iterator[tuple]:
+        """Packed super-k-mers by bucket, and the runs settled here by document."""
+        for doc, text_hash, runs in _packed_runs(self.ids[self.settled], self.hashes[self.settled], self.settled_at):
+            yield int(shingles.mix(np.array([doc]).view(np.uint64))[0] % np.uint64(buckets)), None, doc, text_hash, runs
+        if not len(self.begin):
+            return
+        order = np.argsort(self.bucket, kind="stable")
+        pack, _ = _zstd()
+        begin, length, owner = self.begin, self.length, self.owner
+        for part in np.split(order, np.flatnonzero(np.diff(self.bucket[order])) + 1):
+            head = np.stack([self.ids[owner[part]], self.hashes[owner[part]], begin[part] - self.base[owner[part]], length[part]]).astype("<i8")
+            body = b"\n".join(b" ".join(self.flat[b : b + n + WINDOW - 1]) for b, n in zip(begin[part].tolist(), length[part].tolist()))
+            yield int(self.bucket[part[0]]), pack.compress(len(part).to_bytes(8, "little") + head.tobytes() + body), None, None, None
+
+    def sizes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets and the words that go to them."""
+        bucket, which = np.unique(self.bucket, return_inverse=True)
+        return bucket, np.bincount(which, self.length + WINDOW - 1, len(bucket)).astype(np.int64)
+
+
+ROW = pa.schema([("bucket", pa.int64()), ("pack", pa.binary()), ("id", pa.int64()), ("text_hash", pa.int64()), ("runs", pa.binary())])
+RUNS = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("runs", pa.binary())])
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-def _super_kmers(buckets: int):
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, list[bytes]]] = []
-        count = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[Block]:
+    held: list[tuple[int, int, list[bytes]]] = []
+    count = 0
+    for batch in batches:
+        for doc, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            words = shingles.split_words(text.as_py(), fold=False)
+            if len(words) >= WINDOW:
+                held.append((doc, text_hash, words))
+                count += len(words)
+                if count >= BLOCK_WORDS:
+                    yield Block(held, buckets)
+                    held.clear()
+                    count = 0
+    if held:
+        yield Block(held, buckets)
+
+
+def _super_kmers(buckets: int, heavy: np.ndarray, more: int):
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, buckets):
+            block.split(heavy, buckets, more)
             rows, size = [], 0
-            for row in _block_rows(held, buckets):
+            for row in block.rows(buckets):
                 rows.append(row)
                 size += len(row[1] or row[4])
                 if size > 4 << 20:
@@ -172,19 +216,16 @@ def _super_kmers(buckets: int):
             if rows:
                 yield _table(rows, ROW)
 
-        for batch in batches:
-            for doc, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                words = shingles.split_words(text.as_py(), fold=False)
-                if len(words) >= WINDOW:
-                    held.append((doc, text_hash, words))
-                    count += len(words)
-                    if count >= BLOCK_WORDS:
-                        yield from flush()
-                        held.clear()
-                        count = 0
-        yield from flush()
+    return pack
+
 
-    return blocks
+def _bucket_sizes(buckets: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, buckets):
+            bucket, words = block.sizes()
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array(bucket, pa.int64()), "words": pa.array(words, pa.int64())})
+
+    return count
 
 
 def _bucket_runs(table: pa.Table) -> pa.Table:
@@ -241,27 +282,35 @@ def bucket_count(docs: DataFrame, text_col: str) -> int:
     return max(16, int(3 * size // BUCKET_BYTES) + 1)
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, hash, text``; the hash tells rows of one identifier apart and is 0 where no identifier repeats."""
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
-    unique = docs.groupBy(key.alias("id")).agg(F.count("*").alias("n")).where("n > 1").isEmpty()
-    text_hash = F.lit(0).cast("long") if unique else F.xxhash64(F.col(text_col))
-    return docs.select(key.alias("id"), text_hash.alias("hash"), F.col(text_col).alias("text"))
+def heavy_buckets(rows: DataFrame, buckets: int) -> tuple[np.ndarray, int]:
+    """Buckets that get too many words, ``HEAVY`` at most, and how many buckets their single windows need."""
+    sizes = rows.mapInArrow(_bucket_sizes(buckets), "bucket long, words long").groupBy("bucket").agg(F.sum("words").alias("words"))
+    sizes = Workspace(rows.sparkSession, "buckets").stage(sizes, "sizes")
+    usual = (sizes.agg(F.sum("words")).first()[0] or 0) / buckets
+    full = sizes.where(F.col("words") > HEAVY_TIMES * usual).orderBy(F.desc("words"), "bucket").limit(HEAVY).collect()
+    return np.array([r["bucket"] for r in full], np.int64), max(1, int(sum(r["words"] for r in full) * WINDOW // max(usual, 1)))
 
 
-def repeated_runs(keyed: DataFrame) -> DataFrame:
-    """``id, hash, runs``: packed (first window, number of windows) of the windows to remove; several rows a document."""
-    small_batches(keyed.sparkSession)
-    buckets = bucket_count(keyed, "text")
-    packed = keyed.mapInArrow(_super_kmers(buckets), "bucket long, pack binary, id long, hash long, runs binary")
-    return packed.groupBy("bucket").applyInArrow(_bucket_runs, "id long, hash long, runs binary")
+def repeated_runs(rows: DataFrame) -> DataFrame:
+    """``id, text_hash, runs``: packed (first window, number of windows) of the windows to remove; several rows a document."""
+    small_batches(rows.sparkSession)
+    buckets = bucket_count(rows, "text")
+    packed = rows.mapInArrow(_super_kmers(buckets, *heavy_buckets(rows, buckets)), "bucket long, pack binary, id long, text_hash long, runs binary")
+    return packed.groupBy("bucket").applyInArrow(_bucket_runs, "id long, text_hash long, runs binary")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``id, n_words, n_removed, kept_text`` (kept words joined by one space)."""
-    keyed = _keyed(docs, id_col, text_col)
-    runs = repeated_runs(keyed).groupBy("id", "hash").agg(F.collect_list("runs").alias("runs"))
-    both = keyed.join(runs, ["id", "hash"], "left").select("id", "text", "runs")
+    rows, _ = keyed(docs, id_col, text_col)
+    ws = Workspace(docs.sparkSession, "repeats")
+    runs = ws.stage(repeated_runs(rows).groupBy("id", "text_hash").agg(F.collect_list("runs").alias("runs")), "runs")
+    some = ws.stage(runs.select("id").distinct(), "ids")
+    if some.count() <= BROADCAST_IDS:  # only texts that lose words are sorted to their runs
+        none = F.lit(None).cast("array<binary>").alias("runs")
+        both = rows.join(id_side(some), "id", "left_semi").join(runs.hint("merge"), ["id", "text_hash"], "left").select("id", "text", "runs")
+        both = both.unionAll(rows.join(id_side(some), "id", "left_anti").select("id", "text", none))
+    else:
+        both = rows.join(runs.hint("merge"), ["id", "text_hash"], "left").select("id", "text", "runs")
     out = both.mapInArrow(_cover, "id long, n_words long, n_removed long, kept_text string")
     return out.withColumn("id", F.nullif("id", F.lit(NULL_ID)))
 
@@ -273,4 +322,20 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        words AS MATERIALIZED (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+        windows AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS i, w FROM w WHERE len(w) >= 20),
+        hashed AS MATERIALIZED (SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS h FROM windows),
+        later AS (SELECT doc_id, i FROM hashed QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1),
+        covered AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+        kept AS (
+            SELECT doc_id, count(*) AS n_words, count(c.i) AS n_removed,
+                   coalesce(string_agg(CASE WHEN c.i IS NULL THEN word END, ' ' ORDER BY words.i), '') AS kept
+            FROM words LEFT JOIN covered c USING (doc_id, i) GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents LEFT JOIN kept USING (doc_id)
+    """
+}
