@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tomeflow.functions import ids
 from tomeflow.operators.checks import assert_no_nulls, assert_no_orphans
-from tomeflow.operators.components import label_nodes
+from tomeflow.operators.components import connected_components
 
 
 def node_source(table: DataFrame, column: str, namespace: str, label: str | None = None) -> DataFrame:
@@ -66,8 +66,8 @@ def cluster_graph(nodes: DataFrame, edges: DataFrame, check: bool = True) -> Dat
     if check:
         ends = edges.select(F.explode(F.array("src", "dst")).alias("end"))
         assert_no_orphans(ends, "end", nodes, "book_code")
-    labels = label_nodes(nodes, edges, "book_code").select(F.col("node").alias("book_code"), F.col("component").alias("cluster"))
-    return nodes.join(labels, "book_code")
+    found = connected_components(edges).select(F.col("node").alias("book_code"), F.col("component").alias("cluster"))
+    return nodes.join(found, "book_code", "left").withColumn("cluster", F.coalesce("cluster", "book_code"))
 
 
 def isbn_clusters(clustered: DataFrame) -> DataFrame:
@@ -125,21 +125,26 @@ def subgraph(clustered: DataFrame, edges: DataFrame, clusters: list[int]) -> tup
     return nodes, inner
 
 
-def distances(edges: DataFrame, start: int, limit: int = 1000) -> DataFrame:
-    """Breadth-first ``node, distance`` from a node; the largest is the node's eccentricity."""
+def distances(edges: DataFrame, start: int) -> DataFrame:
+    """Breadth-first ``node, distance`` from a node to all that it reaches; the largest is the node's eccentricity.
+
+    Every step joins only the last front and writes what is new, so a path costs a step for each of its edges.
+    """
     from tomeflow.workspace import Workspace
 
     ws = Workspace(edges.sparkSession, "distances")
     both = ws.stage(edges.select("src", "dst").unionAll(edges.select(F.col("dst"), F.col("src"))).distinct(), "arcs")
-    seen = ws.stage(edges.sparkSession.range(1).select(F.lit(start).cast(edges.schema["src"].dataType).alias("node"), F.lit(0).alias("distance")), "seen")
-    for step in range(1, limit + 1):
-        front = seen.where(F.col("distance") == step - 1)
-        new = both.join(front, both["src"] == front["node"]).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti")
-        new = ws.stage(new.withColumn("distance", F.lit(step)), "front")
-        if new.isEmpty():
-            break
-        seen = ws.stage(seen.unionByName(new), "seen")
-    return seen
+    kind = edges.schema["src"].dataType
+    front = ws.stage(edges.sparkSession.range(1).select(F.lit(start).cast(kind).alias("node"), F.lit(0).alias("distance")), "front")
+    # In breadth-first order a neighbour of a front is in the front before, in it, or new.
+    fronts, before, step = [front._staged_path], front, 0
+    while not front.isEmpty():
+        step += 1
+        near = both.join(front.select("node"), both["src"] == front["node"]).select(F.col("dst").alias("node")).distinct()
+        new = near.join(front, "node", "left_anti").join(before, "node", "left_anti").withColumn("distance", F.lit(step))
+        before, front = front, ws.stage(new, "front")
+        fronts.append(front._staged_path)
+    return edges.sparkSession.read.schema(front.schema).parquet(*fronts)
 
 
 def histogram(df: DataFrame, column: str, count: str = "count") -> DataFrame:
