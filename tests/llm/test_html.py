@@ -65,3 +65,19 @@ def test_operator_and_edge_rows(spark):
     assert got[4].n_chars == 5 * 60000 - 1
     assert all(r.n_chars == len(r.text) for r in got)
     assert extract_pages(pages.limit(0)).count() == 0
+
+
+def test_formulas_are_text_and_open_elements_do_not_swallow_the_page():
+    body = "<p>" + "Plain words of a long enough article paragraph stand here. " * 4 + "{}</p>"
+    page = "<html><body><article><h1>Title of it</h1>" + body * 3 + "</article></body></html>"
+    math = "Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup><annotation>E=mc^2</annotation></math> as shown."
+    (got,) = trained().extract([page.format(math, "<svg/> after", "<canvas> to the end")])
+    assert "Energy is E=mc2 as shown." in got and got.count("Plain words") == 12 and "after" in got and got.endswith("to the end")
+
+
+def test_the_query_has_the_columns_of_its_contract(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "<p>a</p>", 3), (2, None, None, 3)], "page_id long, url string, html string, n_chars int")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    got = html.op7_html_text(spark, str(tmp_path))
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    assert {r.page_id: r.n_chars for r in got.collect()}[2] == 0

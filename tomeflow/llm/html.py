@@ -34,10 +34,13 @@ from tomeflow.llm.batches import small_batches
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    # Formulas are text; their parts stand in it without spaces.
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics".split()
 )
-#: Elements whose content is not page text.
-SKIPPED = frozenset("script style noscript template iframe svg math title textarea xmp object canvas audio video head".split())
+#: Elements whose content is not page text; those of the first kind hold raw text, which an end tag alone ends.
+RAW_TEXT = frozenset("script style noscript iframe title textarea xmp".split())
+SKIPPED = RAW_TEXT | frozenset("template svg annotation annotation-xml object canvas audio video head".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split()
 )
@@ -155,11 +158,12 @@ class Page:
             closing = bool(m["close"] or m["close2"])
             attrs = m["attrs"] or m["attrs2"] or ""
             if tag in SKIPPED:
-                if not closing and not (tag == "svg" and attrs.endswith("/")):
+                if not closing and (tag in RAW_TEXT or not attrs.endswith("/")):
                     if tag == "head":  # its elements are skipped one by one: a head may lack its end tag
                         continue
                     end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(source, at)
-                    at = end.end() if end else size
+                    if end or tag in RAW_TEXT:
+                        at = end.end() if end else size
                 continue
             if tag in ("br", "hr", "wbr"):
                 if tag != "wbr":
