@@ -31,6 +31,7 @@ steps of its own, so another partitioning gives slightly other scores; words are
 from __future__ import annotations
 
 import itertools
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -58,6 +59,7 @@ RATE = 0.08
 SUMMED = 16
 BLOCK = 4096
 WORD_TABLE = 200_000
+SPREAD = 60.0  # exp(-60) and sums of it are normal 32-bit floats
 
 
 class Words(dict):
@@ -124,13 +126,13 @@ class Network:
         (CLASSES, HIDDEN, PLACES),
         (CLASSES, PLACES),
     )
-    SIZE = sum(int(np.prod(s)) for s in SHAPES)
+    SIZE = sum(math.prod(s) for s in SHAPES)
 
     def __init__(self, flat: np.ndarray):
         self.flat = np.array(flat, np.float32)
         self.parts, start = [], 0
         for shape in self.SHAPES:
-            n = int(np.prod(shape))
+            n = math.prod(shape)
             self.parts.append(self.flat[start : start + n].reshape(shape))
             start += n
 
@@ -151,11 +153,24 @@ class Network:
 
     @staticmethod
     def _softmax(z: np.ndarray) -> np.ndarray:
-        z -= z.max(axis=1, keepdims=True)
+        """Softmax of each row, in place; rows have their own maximum taken off only where values lie far apart."""
+        if z.size:
+            top = z.max()
+            z -= top if top - z.min() < SPREAD else z.max(axis=1, keepdims=True)
         np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
+        z /= (z @ np.ones(z.shape[1], z.dtype))[:, None]
         return z
 
+    @staticmethod
+    def _log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Logarithm of each row's softmax at one place; a row's value does not depend on the rows beside it."""
+        picked = z[np.arange(len(z)), at]
+        across = np.ascontiguousarray(z.T)
+        top = across.max(axis=0, initial=-np.inf)
+        across -= top
+        np.exp(across, out=across)
+        return picked - top - np.log(across.sum(axis=0))
+
     def _by_class(self, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
         """Rows in the order of their classes, and ``(class, from, to)``."""
         kind = target // PLACES
@@ -164,19 +179,18 @@ class Network:
         return order, [(c, a, b) for c, (a, b) in enumerate(zip(edge, edge[1:])) if a < b]
 
     def _places(self, h: np.ndarray, kind: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
-        """Probabilities of the places within each row's class; rows are in the order of their classes."""
+        """Logits of the places within each row's class; rows are in the order of their classes."""
         z = self.parts[6].take(kind, axis=0, mode="clip")
         for c, a, b in spans:
             z[a:b] += h[a:b] @ self.parts[5][c]
-        return self._softmax(z)
+        return z
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         _, h = self._hidden(context)
-        row = np.arange(len(target))
-        out = np.log(self._softmax(h @ self.parts[3] + self.parts[4])[row, target // PLACES])
+        out = self._log_softmax_at(h @ self.parts[3] + self.parts[4], target // PLACES)
         order, spans = self._by_class(target)
         sorted_target = target[order]
-        out[order] += np.log(self._places(h.take(order, axis=0), sorted_target // PLACES, spans)[row, sorted_target % PLACES])
+        out[order] += self._log_softmax_at(self._places(h.take(order, axis=0), sorted_target // PLACES, spans), sorted_target % PLACES)
         return out
 
     def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -192,7 +206,7 @@ class Network:
         d[row, kind] += 1
         grad.parts[3][:], grad.parts[4][:] = h.T @ d, d.sum(axis=0)
         dh = d @ self.parts[3].T
-        e = -self._places(h, kind, spans)
+        e = -self._softmax(self._places(h, kind, spans))
         e[row, target % PLACES] += 1
         for c, a, b in spans:
             grad.parts[5][c] = h[a:b].T @ e[a:b]
@@ -205,7 +219,7 @@ class Network:
         flat = context.ravel()
         by_token = np.argsort(flat, kind="stable")
         in_order = flat[by_token]
-        first = np.flatnonzero(np.diff(in_order, prepend=-1))
+        first = np.append(0, np.flatnonzero(in_order[1:] != in_order[:-1]) + 1)
         grad.parts[0][in_order[first]] = np.add.reduceat(dx.take(by_token, axis=0), first, axis=0)
         return grad.flat / n
 
