@@ -178,6 +178,7 @@ def test_whole_run_and_commands(spark, tmp_path):
     lines(raw / "goodreads/authors.json.gz", [{"author_id": "5", "name": "Eva Berg"}])
     lines(raw / "goodreads/genres.json.gz", [{"book_id": "1", "genres": {"a": 1}}])
     lines(raw / "goodreads/interactions.json.gz", [interaction("u", 1, 1, 4), interaction("u", 1, 2, 0), interaction("w", 2, 3, 5)])
+    lines(raw / "goodreads/reviews.json.gz", [interaction("u", 1, 1, 4) | {"review_text": "Good", "n_votes": 2}])
     (raw / "az2014/r.csv").write_text("A,349224010X,4.0,100\nA,349224010X,2.0,50\n")
     (raw / "az2018/r.csv").write_text("349224010X,A,4.0,100\n")
     with zipfile.ZipFile(raw / "bx/b.zip", "w") as z:
@@ -186,6 +187,9 @@ def test_whole_run_and_commands(spark, tmp_path):
     state: dict[str, str] = {}
     assert len(pipeline.run(store, state=state)) == len(pipeline.STAGES)
     assert pipeline.run(store, state=state) == []
+    assert [(r.item_id, r.rating, r.n_votes, r.review) for r in store.read("goodreads/reviews").collect()] == [(400000007, 4.0, 2, "Good")]
+    assert store.read("goodreads/work_ratings_2015_100_10core").count() == 0 and store.read("goodreads/dataset/interactions").count() == 0
+    assert [(r.author_id, r.work_id, r.au_nbooks) for r in store.read("goodreads/author_first_works").orderBy("author_id").collect()] == [(5, 7, 1), (6, 7, 1)]
     work = ids.code_of("OL-W", 5)
     assert {r.isbn: r.cluster for r in store.read("links/isbn_clusters").collect()} == {"349224010X": work, "9780329489391": ids.code_of("GR-B", 2)}
     assert {r.cluster: r.gender for r in store.read("links/cluster_genders").collect()}[work] == "female"
@@ -205,3 +209,29 @@ def test_whole_run_and_commands(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "isbns.parquet")).count() == 2
     cli.main(["pq-info", "-o", str(tmp_path / "info.json"), store.path("loc/isbns")], spark)
     assert json.loads((tmp_path / "info.json").read_text())["row_count"] == 1
+
+    def command(name: str, *args: str) -> list:
+        cli.main([name, "-o", str(tmp_path / f"{name}.parquet"), *args], spark)
+        return sorted(map(tuple, spark.read.parquet(str(tmp_path / f"{name}.parquet")).collect()), key=repr)
+
+    def stored(name: str) -> list:
+        return sorted(map(tuple, store.read(name).collect()), key=repr)
+
+    path = store.path
+    ids_and_names = ("--edition-isbn-ids", path("openlibrary/edition_isbn_ids"), "--edition-authors", path("openlibrary/edition_authors"), "--author-names", path("openlibrary/author_names"))
+    records = ("--record-isbn-ids", path("loc/book_isbn_ids"), "--record-authors", path("loc/authors"))
+    assert command("extract-authors", "--first", "--clusters", path("links/isbn_clusters"), *ids_and_names, *records) == stored("links/cluster_first_authors")
+    people = ("--cluster-authors", path("links/cluster_first_authors"), "--name-index", path("viaf/author_name_index"), "--author-genders", path("viaf/author_genders"))
+    assert command("extract-author-gender", "--clusters", path("links/cluster_stats"), *people) == stored("links/cluster_genders")
+    assert command("cluster-interactions", "actions", "--native-works", "--books", path("goodreads/book_ids"), path("goodreads/interactions")) == stored("goodreads/work_actions")
+    assert command("cluster-interactions", "ratings", "--books", path("goodreads/book_link"), path("goodreads/interactions")) == stored("goodreads/cluster_ratings")
+    assert command("work-gender", "--genders", path("links/cluster_genders"), path("goodreads/book_link")) == stored("goodreads/work_gender")
+    sinks.write_csv(store.read("bx/ratings"), str(tmp_path / "swaps"), compressed=False)
+    assert command("bx-actions", "--clusters", path("links/isbn_clusters"), str(tmp_path / "swaps")) == stored("bx/cluster_actions")
+    cli.main(["integration-stats", str(tmp_path)], spark)
+
+    pipeline.save_state(state, str(tmp_path / "state.json"))
+    (raw / "az2014/s.csv").write_text("B,349224010X,1.0,70\n")
+    assert {"scan-az2014", "collect-isbns", "cluster-az2014"} <= set(pipeline.run(store, state_path=str(tmp_path / "state.json")))
+    assert store.read("az2014/cluster_ratings").count() == 2
+    assert pipeline.run(store, state_path=str(tmp_path / "state.json")) == []

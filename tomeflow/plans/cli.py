@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tomeflow.functions import ids
 from tomeflow.functions.dates import epoch, year_range
 from tomeflow.functions.names import index_names
-from tomeflow.operators import graph, index, interactions, kcore
+from tomeflow.operators import authors, graph, index, interactions, kcore, works
 from tomeflow.plans import pipeline
 from tomeflow.plans.config import Config, load_config
 from tomeflow.sources import amazon, bookcrossing, goodreads, marc, openlibrary
@@ -47,8 +47,15 @@ def parser() -> argparse.ArgumentParser:
         "kcore", out, (("-k", "--core"), {"type": int, "default": 5}), (("-U", "--user-k"), {"type": int}), (("-I", "--item-k"), {"type": int}),
         (("--year",), {"type": int}), (("--start-date",), {}), (("--end-date",), {}), (("--compat",), flag), (("input",), {}),
     )
+    table = lambda name: ((f"--{name}",), {"required": True})
+    command("extract-authors", out, (("--first",), flag), *map(table, ("clusters", "edition-isbn-ids", "edition-authors", "author-names")), (("--record-isbn-ids",), {}), (("--record-authors",), {}))
+    command("extract-author-gender", out, *map(table, ("clusters", "cluster-authors", "name-index", "author-genders")))
+    command("cluster-interactions", out, (("kind",), {"choices": ["ratings", "actions"]}), (("--native-works",), flag), (("--books",), {"required": True, "help": "book links, or book identifiers for native works"}), (("input",), {}))
+    command("work-gender", out, table("genders"), (("--compat",), flag), (("input",), {}))
+    command("bx-actions", out, table("clusters"), (("--ratings",), flag), (("input",), {}))
+    command("integration-stats", (("root",), {}), (("--config",), {}))
     command("pq-info", (("-o", "--output"), {}), (("--check-length",), flag), (("file",), {}))
-    command("run", (("root",), {}), (("--config",), {}), (("--stage",), {"action": "append", "default": []}))
+    command("run", (("root",), {}), (("--config",), {}), (("--state",), {"help": "file that keeps which stages are up to date"}), (("--stage",), {"action": "append", "default": []}))
     return top
 
 
@@ -121,6 +128,22 @@ def main(argv: list[str] | None = None, spark=None) -> None:
         case "kcore":
             rows = kcore.time_range(read(args.input), *kcore_times(args))
             write_table(kcore.kcore(rows, args.user_k or args.core, args.item_k or args.core, compat=args.compat), args.output)
+        case "extract-authors":
+            parts = [authors.edition_authors(read(args.clusters), read(args.edition_isbn_ids), read(args.edition_authors), read(args.author_names), first_only=args.first)]
+            if args.record_authors:
+                parts.append(authors.catalogue_authors(read(args.clusters), read(args.record_isbn_ids), read(args.record_authors)))
+            write_table(authors.cluster_authors(*parts), args.output)
+        case "extract-author-gender":
+            names = authors.name_table(read(args.name_index), read(args.author_genders))
+            write_table(authors.cluster_genders(read(args.clusters), read(args.cluster_authors), names), args.output)
+        case "cluster-interactions":
+            write_table(pipeline.shelf_rows(read(args.input), read(args.books), args.kind, args.native_works), args.output)
+        case "work-gender":
+            write_table(works.work_genders(read(args.input), read(args.genders), args.compat), args.output)
+        case "bx-actions":
+            write_table(pipeline.swap_rows(spark.read.csv(args.input, header=True, schema="user int, isbn string, rating float"), read(args.clusters), args.ratings), args.output)
+        case "integration-stats":
+            pipeline.integration_stats(pipeline.Store(spark, args.root, load_config(args.config) if args.config else Config()))
         case "pq-info":
             text = json.dumps(table_info(spark, args.file, args.check_length), indent=2)
             if args.output:
@@ -130,7 +153,7 @@ def main(argv: list[str] | None = None, spark=None) -> None:
                 print(text)
         case "run":
             config = load_config(args.config) if args.config else Config()
-            for name in pipeline.run(pipeline.Store(spark, args.root, config), tuple(args.stage)):
+            for name in pipeline.run(pipeline.Store(spark, args.root, config), tuple(args.stage), state_path=args.state):
                 print(name)
 
 
