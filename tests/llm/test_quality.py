@@ -82,3 +82,26 @@ def test_fourier_features_approximate_the_gaussian_kernel():
     z = f(x)[:, : quality.FOURIER]
     exact = np.exp(-((x[:, None] - x[None]) ** 2).sum(-1) / (2 * quality.BANDWIDTH**2))
     assert np.abs(z @ z.T - exact).max() < 0.25
+
+
+def test_weights_are_those_of_one_fit_over_the_whole_table(spark):
+    docs, labels = corpus(150)
+    d = spark.createDataFrame(docs, "doc_id long, text string, id string, score double")
+    y = spark.createDataFrame(labels, "doc_id long, quality int")
+    for partitions in (1, 7, 300):  # the last one makes a tree of two levels
+        got = train(document_statistics(d.repartition(partitions)), y)
+        label = dict(labels)
+        seen = [r for r in document_statistics(d.where(~quality.held_out(F.col("doc_id")))).collect()]
+        x = np.array([r.x for r in seen], np.float64)
+        mean, scale = x.mean(axis=0), np.sqrt(np.maximum(x.var(axis=0), 1e-6))
+        assert np.allclose(got.features.mean, mean) and np.allclose(got.features.scale, scale)
+        z = quality.Features(mean, scale)(x)
+        ridge = quality.RIDGE * np.eye(z.shape[1])
+        ridge[-1, -1] = 1e-6
+        want = np.linalg.solve(z.T @ z + ridge, z.T @ np.array([label[r.id] for r in seen], float))
+        assert np.allclose(z @ got.weights, z @ want, atol=1e-6)
+
+
+def test_sums_of_many_partitions(spark):
+    df = spark.range(1000).select(F.array(F.col("id").cast("float"), F.lit(1.0).cast("float")).alias("x")).repartition(290)
+    assert quality._summed(df, lambda batch: quality._matrix(batch.column(0)).sum(axis=0), 2).tolist() == [499500.0, 1000.0]

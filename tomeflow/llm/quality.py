@@ -170,7 +170,10 @@ class Features:
 
 
 def _summed(df: DataFrame, sums, size: int) -> np.ndarray:
-    """Add the arrays that ``sums`` makes of a partition's batches: in the tasks, then in SUMMED tasks, then here."""
+    """Add the arrays that ``sums`` makes of a partition's batches: in the tasks, then in a tree, then here.
+
+    Every task of the tree adds about ``SUMMED`` arrays, and the driver gets as many at most, however many partitions there are.
+    """
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -187,8 +190,12 @@ def _summed(df: DataFrame, sums, size: int) -> np.ndarray:
                 total += np.frombuffer(part.as_py())
         yield pa.RecordBatch.from_pydict({"part": pa.array([total.tobytes()], pa.binary())})
 
-    parts = df.mapInArrow(first, "part binary").repartition(SUMMED).mapInArrow(second, "part binary").collect()
-    return sum((np.frombuffer(r["part"]) for r in parts), np.zeros(size))
+    n = df.rdd.getNumPartitions()
+    parts = df.mapInArrow(first, "part binary")
+    while n > SUMMED:
+        n = -(-n // SUMMED)
+        parts = parts.repartition(n).mapInArrow(second, "part binary")
+    return sum((np.frombuffer(r["part"]) for r in parts.collect()), np.zeros(size))
 
 
 def pool_adjacent_violators(y: np.ndarray, weight: np.ndarray) -> np.ndarray:
