@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -143,6 +144,32 @@ def test_links_between_copies_that_the_original_is_not_similar_to(spark, seed):
     assert sorted((r.id, r.n_shingles, r.component_id) for r in near_components(docs).collect()) == brute(rows)
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_prefixes_are_taken_once_and_list_elements_where_members_meet(spark, monkeypatch, seed):
+    staged = []
+    keep = minhash.Workspace.stage
+
+    def stage(self, df, name, **options):
+        staged.append((name, keep(self, df, name, **options)))
+        return staged[-1][1]
+
+    monkeypatch.setattr(minhash.Workspace, "stage", stage)
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(120)]
+    texts = [base] * 2
+    for _ in range(90):
+        texts.append(edited(rng, rng.choice(texts), [rng.choice(["in", "out", "swap"]) for _ in range(rng.randrange(1, 5))]))
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    got = near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.id, r.n_shingles, r.component_id) for r in got) == brute(rows)
+    names = [name for name, _ in staged]
+    assert names.count("rest") == 2 and names.count("links") > 1 and names.count("prefixes") == 1
+    tables = dict(staged)
+    held = Counter((r.centre, e) for r in tables["placed"].collect() for e in r.apart)
+    prefixes = tables["prefixes"].collect()
+    assert prefixes and all(held[r.centre, r.token] > 1 for r in prefixes)
+
+
 def test_a_very_long_text(spark):
     long = [f"w{i}" for i in range(300_000)]
     rows = [(1, " ".join(long)), (2, " ".join(long[:290_000])), (3, " ".join(long[:200_000])), (4, "x" * 1_000_000), (5, "w1 w2")]

@@ -186,8 +186,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not prefixes.isEmpty():
         found = ws.stage(_compare(_element_stars(ws, prefixes, percent), texts, percent), "rest")
         merged = _merge(ws, labels, found)
-        if merged is not labels:
-            labels, prefixes = merged, _prefixes(ws, family, merged, percent)
+        if merged is not labels:  # prefixes hold for any components that are unions of those they were taken under
+            labels = merged
+            prefixes = ws.stage(prefixes.drop("comp").join(labels.withColumnRenamed("rep", "member"), "member"), "prefixes-again")
         found = ws.stage(_compare(_element_pairs(ws, prefixes, percent), texts, percent), "rest")
         labels = _merge(ws, labels, found)
     final = members.groupBy("id").agg(F.min("rep").alias("rep")).join(labels, "rep", "left")
@@ -223,7 +224,8 @@ def _prefixes(ws: Workspace, family: DataFrame, labels: DataFrame, percent: int)
     """First elements of the members' differences from their centre, where a member is outside the centre's component.
 
     ``d`` is the size of a member's difference, ``pos`` an element's place in it, ``out`` whether the
-    member is outside, and ``short`` the prefix that suffices to meet a member outside.
+    member is outside, and ``short`` the prefix that suffices to meet a member outside.  Elements that a
+    single member has take their places, but are no rows: nothing meets there.
     """
     # Similar: |A ^ B| (100 + percent) <= (100 - percent) (|A| + |B|).
     whole, loose = 100 + percent, 100 - percent
@@ -234,9 +236,9 @@ def _prefixes(ws: Workspace, family: DataFrame, labels: DataFrame, percent: int)
         placed.join(mixed, "centre", "left_semi").select("centre", "member", "n", "nc", "comp", (F.col("comp") != F.col("home")).alias("out"), F.size("apart").cast("long").alias("d"), "apart"), "placed"
     )
     elements = placed.select("centre", "member", "n", "nc", "comp", "out", "d", F.explode("apart").alias("token"))
-    counts = ws.stage(elements.where("out").groupBy("centre", "token").agg(F.count("*").alias("k")), "elements")
+    counts = ws.stage(elements.groupBy("centre", "token").agg(F.count_if("out").alias("k"), (F.count("*") > 1).alias("met")).where("k > 0"), "elements")
     # One member's elements are one row: as many as its text and the centre's have shingles at most.
-    ordered = elements.join(counts, ["centre", "token"]).groupBy("centre", "member", "n", "nc", "comp", "out", "d").agg(F.array_sort(F.collect_list(F.struct("k", "token"))).alias("t"))
+    ordered = elements.join(counts, ["centre", "token"]).groupBy("centre", "member", "n", "nc", "comp", "out", "d").agg(F.array_sort(F.collect_list(F.struct("k", "token", "met"))).alias("t"))
     # A member shares at least ``least`` elements with one outside, and the latter ``fewest`` with any.
     least = F.ceil((whole * F.col("d") + loose * (F.col("nc") - F.col("n")) + 1) / (2 * whole))
     fewest = F.greatest(F.lit(1), F.ceil((whole * F.col("d") - loose * (F.col("n") + F.col("nc"))) / (whole + loose)))
@@ -244,8 +246,9 @@ def _prefixes(ws: Workspace, family: DataFrame, labels: DataFrame, percent: int)
     short = F.col("d") - least + 1
     length = F.when(F.col("out"), F.col("d") - fewest + 1).otherwise(short) - none
     first = ordered.select("centre", "member", "n", "comp", "out", "d", short.alias("short"), none.alias("none"), F.slice("t", F.lit(1), F.greatest(length, F.lit(0)).cast("int")).alias("t"))
-    first = first.select("centre", "member", "n", "comp", "out", "d", "short", "none", F.posexplode("t").alias("place", "e"))
-    return ws.stage(first.select("centre", F.col("e.token").alias("token"), "member", "n", "comp", "out", "d", "short", (F.col("none") + F.col("place")).alias("pos")), "prefixes")
+    placed_first = F.transform("t", lambda e, i: F.struct(e["token"].alias("token"), e["met"].alias("met"), (F.col("none") + i).alias("pos")))
+    first = first.select("centre", "member", "n", "comp", "out", "d", "short", F.explode(F.filter(placed_first, lambda e: e["met"])).alias("e"))
+    return ws.stage(first.select("centre", F.col("e.token").alias("token"), "member", "n", "comp", "out", "d", "short", F.col("e.pos").alias("pos")), "prefixes")
 
 
 def _may_be_similar(a: str, b: str, percent: int) -> Column:
