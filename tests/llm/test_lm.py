@@ -117,6 +117,22 @@ def test_rare_words_keep_their_own_counts(spark):
         assert got[i] == pytest.approx(net.scores([tokens])[0] + np.log(share), rel=1e-6)
 
 
+def test_counts_of_common_words_are_held_in_the_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"v{j}" for j in rng.integers(0, 3000, 300) ** 2 // 3000)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    net, scores, joined = None, [], []
+    for common in (0, 1800, lm.COMMON):
+        monkeypatch.setattr(lm, "COMMON", common)
+        words = vocabulary_of(docs)
+        assert len(words.common[0]) <= common
+        net = net or train(tokenised(docs, words), words)
+        joined.append(sum(len(r.words) for r in tokenised(docs, words).collect()))
+        scores.append([r.log_likelihood for r in scored(docs, net, words).orderBy("id").collect()])
+    assert joined[0] > joined[1] > joined[2] == 0
+    assert np.allclose(scores[0], scores[1], rtol=1e-9) and np.allclose(scores[0], scores[2], rtol=1e-9)
+
+
 def test_every_token_is_a_target_once():
     rng = np.random.default_rng(4)
     for n in (1, 2, 3, 16, 333):

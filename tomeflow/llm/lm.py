@@ -17,7 +17,8 @@ its tokens, each predicted from both sides.
 4. Scoring is a pass over the tokens with the weights, of fixed size, in hand, which
    gives P(token | context).  A word without a token of its own has the probability
    P(token | context) * P(word | token), the latter its count among those of the token's
-   words: documents' distinct words are joined with the table of counts.  A word that the
+   words.  The counts of the ``COMMON`` most frequent words go to every task; documents'
+   other distinct words are joined with the table of counts.  A word that the
    corpus lacks shares one count with as many words as a token has on average.
 
 The softmax is factored: a token is a class and a place in it, 32 x 32 values.
@@ -58,7 +59,9 @@ STEP = 512
 RATE = 0.08
 SUMMED = 16
 BLOCK = 4096
-WORD_TABLE = 200_000
+COMMON = 200_000  # words whose counts are held in the tasks, 16 bytes each
+WORD_TABLE = 100_000
+COUNTED, COUNT_ROWS = 200_000, 20_000
 SPREAD = 60.0  # exp(-60) and sums of it are normal 32-bit floats
 
 
@@ -88,22 +91,54 @@ class Words(dict):
 class Vocabulary(list):
     """The words that are tokens, and the counts of all words of the corpus."""
 
-    def __init__(self, frequent: list[str], counts: np.ndarray, counted: DataFrame, totals: np.ndarray, others: int):
+    def __init__(self, frequent: list[str], counts: np.ndarray, counted: DataFrame, totals: np.ndarray, others: int, common: tuple[np.ndarray, np.ndarray]):
         super().__init__(frequent)
         self.counts = counts
+        self.common = common  # hashes of the most frequent words, ascending, and the logarithms of their counts
         self.counted = counted  # word, n; grows with the corpus and stays a table
         self.totals = totals  # tokens of each hash class
         self.others = others  # distinct words that are no tokens
 
 
-class Prints(dict):
-    """64-bit hash of each word, that of Spark's ``xxhash64``; emptied when it holds too many."""
+class Index(dict):
+    """A place for each word, in the order in which they are met."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_TABLE:
+        at = self[word] = len(self)
+        return at
+
+
+class Table:
+    """What is known of the words that a task has met: token, hash and log count, or that the count is to be joined."""
+
+    def __init__(self, frequent: list[str], common: tuple[np.ndarray, np.ndarray]):
+        self.frequent = [w.encode() for w in frequent]
+        self.known, self.logs = common
+        self.clear()
+
+    def clear(self) -> None:
+        self.index = Index((w, i) for i, w in enumerate(self.frequent))
+        n = len(self.index)
+        self.token, self.hash, self.log, self.join = np.arange(n, dtype=TOKEN), np.zeros(n, np.int64), np.zeros(n), np.zeros(n, bool)
+
+    def places(self, words: Iterator[bytes], count: int) -> np.ndarray:
+        """Place of each word; the table is emptied beforehand when it holds too many."""
+        if len(self.index) > WORD_TABLE + len(self.frequent):
             self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word, 42)
-        return h
+        places = np.fromiter(map(self.index.__getitem__, words), np.int32, count)
+        new = list(itertools.islice(self.index, len(self.token), None))
+        if new:
+            token = np.fromiter((FREQUENT + zlib.crc32(w) % (VOCABULARY - FREQUENT) for w in new), TOKEN, len(new))
+            # The hash of Spark's ``xxhash64``.
+            hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in new), np.uint64, len(new)).view(np.int64)
+            log, join = np.zeros(len(new)), np.ones(len(new), bool)
+            if len(self.known):
+                at = np.searchsorted(self.known, hashes)
+                join = self.known.take(at, mode="clip") != hashes
+                log[~join] = self.logs[at[~join]]
+            self.token, self.hash = np.append(self.token, token), np.append(self.hash, hashes)
+            self.log, self.join = np.append(self.log, log), np.append(self.join, join)
+        return places
 
 
 def contexts(tokens: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
@@ -265,18 +300,18 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally: Counter[bytes] = Counter()
 
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([w.decode("utf-8", "replace") for w in tally], pa.string()), pa.array(list(tally.values()), pa.int64())], ["word", "n"]
-            )
+        def rows() -> Iterator[pa.RecordBatch]:
+            for part in itertools.batched(tally.items(), COUNT_ROWS):
+                words, counts = zip(*part)
+                yield pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in words], pa.string()), pa.array(counts, pa.int64())], ["word", "n"])
+            tally.clear()
 
         for batch in batches:
             for text in batch.column(0):
                 tally.update(shingles.split_words(text.as_py()))
-            if len(tally) > WORD_TABLE:
-                yield rows()
-                tally.clear()
-        yield rows()
+            if len(tally) > COUNTED:
+                yield from rows()
+        yield from rows()
 
     return docs.select(text_col).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -330,27 +365,32 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def tokenised(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A written table: ``key, id, n_tokens, tokens``, and the hashes of a row's words without a token of their own with their counts."""
-    frequent = list(vocabulary)
+    """A written table: ``key, id, n_tokens, tokens``, and of a row's words without a token of their own ``common``, the sum of the
+    common ones' log counts, and the others' hashes with how often the row has each."""
+    frequent, common = list(vocabulary), vocabulary.common
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, prints = Words(frequent), Prints()
+        table = Table(frequent, common)
         for batch in batches:
             split = [shingles.split_words(t.as_py()) for t in batch.column(2)]
-            tokens = [words.of(w) for w in split]
-            rare = [t >= FREQUENT for t in tokens]
-            found = [np.unique(np.fromiter(map(prints.__getitem__, itertools.compress(w, r.tolist())), np.uint64, int(r.sum())), return_counts=True) for w, r in zip(split, rare)]
-            edge = pa.array(np.cumsum([0] + [len(h) for h, _ in found]), pa.int32())
-            hashes = np.concatenate([h for h, _ in found] or [np.zeros(0, np.uint64)]).view(np.int64)
-            times = np.concatenate([n for _, n in found] or [np.zeros(0, np.int64)])
+            size = np.array([len(w) for w in split], np.int64)
+            places = table.places(itertools.chain.from_iterable(split), int(size.sum()))
+            row = np.repeat(np.arange(len(size)), size)
+            sums = np.bincount(row, table.log[places], len(size))
+            left = table.join[places]
+            pairs, times = np.unique(row[left] << 32 | places[left], return_counts=True)
+            edge = pa.array(np.append(0, np.cumsum(np.bincount(pairs >> 32, minlength=len(size)))), pa.int32())
+            hashes = table.hash[pairs & 0xFFFFFFFF]
+            raw, ends = table.token[places].tobytes(), np.append(0, np.cumsum(size * TOKEN.itemsize)).tolist()
+            tokens = [raw[a:b] for a, b in itertools.pairwise(ends)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(t) for t in tokens], pa.int64()), pa.array([t.tobytes() for t in tokens], pa.binary()), pa.ListArray.from_arrays(edge, pa.array(hashes)), pa.ListArray.from_arrays(edge, pa.array(times, pa.int64()))],
-                ["key", "id", "n_tokens", "tokens", "words", "times"],
+                [batch.column(0), batch.column(1), pa.array(size), pa.array(tokens, pa.binary()), pa.array(sums, pa.float64()), pa.ListArray.from_arrays(edge, pa.array(hashes)), pa.ListArray.from_arrays(edge, pa.array(times, pa.int64()))],
+                ["key", "id", "n_tokens", "tokens", "common", "words", "times"],
             )
 
     small_batches(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return Workspace(docs.sparkSession, "tokens").stage(rows.mapInArrow(tokenise, "key long, id long, n_tokens long, tokens binary, words array<long>, times array<long>"), "documents")
+    return Workspace(docs.sparkSession, "tokens").stage(rows.mapInArrow(tokenise, "key long, id long, n_tokens long, tokens binary, common double, words array<long>, times array<long>"), "documents")
 
 
 def vocabulary_of(docs: DataFrame, text_col: str = "text") -> Vocabulary:
@@ -359,6 +399,19 @@ def vocabulary_of(docs: DataFrame, text_col: str = "text") -> Vocabulary:
     counted = Workspace(docs.sparkSession, "words").stage(word_counts(docs, text_col), "counts")
     # The most frequent words: as many rows as the vocabulary has places.
     top = counted.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    # The next most frequent ones by their hash: those above the least count that COMMON words at most reach.
+    step = F.floor(F.log2("n") * 8)
+    least, size = None, 0
+    for r in sorted(counted.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect(), reverse=True):
+        size += r["words"]
+        if size > COMMON:
+            break
+        least = r["step"]
+    common = counted.where(step >= least if least is not None else F.lit(False)).select(F.xxhash64("word").alias("word"), "n").toArrow()
+    hashes, n = common["word"].to_numpy(), common["n"].to_numpy()
+    order = np.lexsort((-n, hashes))
+    first = np.append(True, np.diff(hashes[order]) != 0)[: len(order)]
+    order = order[first]
     classes = VOCABULARY - FREQUENT
     totals, others = np.zeros(classes), -len(top)
     for r in counted.groupBy((F.crc32(F.col("word").cast("binary")) % classes).alias("kind")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
@@ -366,7 +419,7 @@ def vocabulary_of(docs: DataFrame, text_col: str = "text") -> Vocabulary:
         others += r["words"]
     for r in top:
         totals[zlib.crc32(r["word"].encode()) % classes] -= r["n"]
-    return Vocabulary([r["word"] for r in top], np.array([r["n"] for r in top], float), counted, totals, others)
+    return Vocabulary([r["word"] for r in top], np.array([r["n"] for r in top], float), counted, totals, others, (hashes[order], np.log(n[order])))
 
 
 def train(tokens: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Network:
@@ -403,10 +456,10 @@ def score_documents(tokens: DataFrame, net: Network, vocabulary: Vocabulary) ->
         network = Network(flat)
         for batch in batches:
             held = [np.frombuffer(t.as_buffer(), TOKEN) for t in batch.column(3)]
-            part = network.scores(held) + [shares[t].sum() for t in held]
+            part = network.scores(held) + [shares[t].sum() for t in held] + batch.column(4).to_numpy()
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(part)], ["key", "id", "n_tokens", "part"])
 
-    scored = tokens.select("key", "id", "n_tokens", "tokens").mapInArrow(score, "key long, id long, n_tokens long, part double")
+    scored = tokens.select("key", "id", "n_tokens", "tokens", "common").mapInArrow(score, "key long, id long, n_tokens long, part double")
     held = tokens.select("key", F.explode(F.arrays_zip("words", "times")).alias("w")).select("key", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     known = vocabulary.counted.select(F.xxhash64("word").alias("word"), F.log("n").alias("log_n")).groupBy("word").agg(F.max("log_n").alias("log_n"))
     parts = held.join(known, "word", "left").select("key", F.lit(None).cast("long").alias("id"), F.lit(0).cast("long").alias("n_tokens"), (F.col("times") * F.coalesce("log_n", F.lit(unseen))).alias("part"))
