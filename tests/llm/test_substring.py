@@ -126,3 +126,19 @@ def test_a_very_long_text_and_the_querys_columns(spark, tmp_path):
     found = substring.op5_substring_dedup(spark, str(tmp_path))
     assert found.dtypes == [("doc_id", "bigint"), ("n_words", "bigint"), ("n_removed", "bigint"), ("kept_sha256", "string")]
     assert sorted((r.doc_id, r.n_words, r.n_removed) for r in found.collect()) == [(1, 200_100, 100), (2, 1, 0), (3, 150_000, 150_000), (4, 0, 0)]
+
+
+def test_words_are_hashed_side_by_side_as_split_parts_them(monkeypatch):
+    rng = np.random.default_rng(8)
+    words = ["", "a", "a\0", "\0", "é" * 5, "\u00a0", "x" * 7, "x" * 8, "x" * 9, "x" * 16, "y" * 64, "y" * 65, "z" * 500, "z" * 501, "\x1c"]
+    text = "".join(words[i] + " \t\n\r\v\f"[j] for i, j in rng.integers(0, [len(words), 6], (3000, 2)))
+    for raw in (text.encode(), b"", b" \n", b"one"):
+        h, begin, end = substring.shingles.hashed_words(raw)
+        assert [raw[a:b] for a, b in zip(begin, end)] == raw.split()
+        assert len({*h.tolist()}) == len({*raw.split()}) == len({*zip(h.tolist(), raw.split())})
+    docs = [(i, 0, t.encode().split()) for i, t in enumerate([text, "b " * 30, text])]
+    blocks = []
+    for size in (1, 1 << 18):
+        monkeypatch.setattr(substring, "HASH_BYTES", size)
+        blocks.append(sorted(substring.Block(docs, 4).rows(4), key=str))
+    assert blocks[0] == blocks[1]

@@ -45,6 +45,33 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
 
 
+#: The first bytes of eight, by how many.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+LONG_WORD = 64
+
+
+def hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of a text, as ``bytes.split()`` parts it: a 64-bit hash of each, and where it begins and ends.
+
+    Words are hashed side by side, eight bytes a step; the hash is another than that of ``word_hashes``.
+    """
+    text = np.frombuffer(raw, np.uint8)
+    gap = ((text == 0x20) | (text - np.uint8(9) < 5)).view(np.int8)
+    edge = np.diff(gap, prepend=np.int8(1), append=np.int8(1))
+    begin, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    size = end - begin
+    eight = np.ndarray(len(raw), "<u8", raw + bytes(8), strides=(1,))  # the eight bytes from each place on
+    h = mix((eight[begin] & _FIRST[np.minimum(size, 8)]) + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    at, k = np.flatnonzero(size > 8), 8
+    while len(at) and k < LONG_WORD:
+        h[at] = mix(h[at] * np.uint64(0xD6E8FEB86659FD93) + (eight[begin[at] + k] & _FIRST[np.minimum(size[at] - k, 8)]))
+        k += 8
+        at = at[size[at] > k]
+    for i in at.tolist():
+        h[i] = xxhash.xxh64_intdigest(raw[begin[i] : end[i]])
+    return h, begin, end
+
+
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     """A fingerprint for each run of ``size`` words, in order."""
     n = len(hashes) - size + 1

@@ -49,6 +49,7 @@ from tomeflow.workspace import Workspace
 WINDOW, MINIMISER = 20, 3
 BLOCK_WORDS = 1_000_000
 BUCKET_BYTES = 12 << 20
+HASH_BYTES = 1 << 18
 HEAVY, HEAVY_TIMES = 100_000, 4
 
 
@@ -118,14 +119,27 @@ def _packed_runs(ids: np.ndarray, hashes: np.ndarray, starts: np.ndarray) -> Ite
         yield int(ids[cut[lo]]), int(hashes[cut[lo]]), runs[:, lo:hi].tobytes()
 
 
+def _hashed(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, begin and end of the words of all parts joined by a space, ``HASH_BYTES`` of them or one part at a time."""
+    found, at, first, size = [], 0, 0, 0
+    for k, part in enumerate(parts, 1):
+        size += len(part) + 1
+        if size >= HASH_BYTES or k == len(parts):
+            h, begin, end = shingles.hashed_words(b" ".join(parts[first:k]))
+            found.append((h, begin + at, end + at))
+            at, first, size = at + size, k, 0
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 class Block:
     """Documents held together: windows settled here, and the super-k-mers of the open ones with their buckets."""
 
     def __init__(self, docs: list[tuple[int, int, list[bytes]]], buckets: int):
         sizes = np.array([len(w) for *_, w in docs], np.int64)
         self.base = np.concatenate(([0], np.cumsum(sizes)))
-        words = np.concatenate([shingles.word_hashes(w) for *_, w in docs])
-        self.flat = [w for *_, ws in docs for w in ws]
+        parts = [b" ".join(w) for *_, w in docs]
+        self.text = b" ".join(parts)
+        words, self.word_begin, self.word_end = _hashed(parts)
         valid = np.ones(len(words), bool)  # starts of windows that lie within one document
         for k in range(1, WINDOW):
             valid[self.base[1:] - k] = False
@@ -168,7 +182,8 @@ class Block:
         begin, length, owner = self.begin, self.length, self.owner
         for part in np.split(order, np.flatnonzero(np.diff(self.bucket[order])) + 1):
             head = np.stack([self.ids[owner[part]], self.hashes[owner[part]], begin[part] - self.base[owner[part]], length[part]]).astype("<i8")
-            body = b"\n".join(b" ".join(self.flat[b : b + n + WINDOW - 1]) for b, n in zip(begin[part].tolist(), length[part].tolist()))
+            ends = self.word_end[begin[part] + length[part] + WINDOW - 2]
+            body = b"\n".join(map(self.text.__getitem__, map(slice, self.word_begin[begin[part]].tolist(), ends.tolist())))
             yield int(self.bucket[part[0]]), pack.compress(len(part).to_bytes(8, "little") + head.tobytes() + body), None, None, None
 
     def sizes(self) -> tuple[np.ndarray, np.ndarray]:
@@ -238,7 +253,7 @@ def _bucket_runs(table: pa.Table) -> pa.Table:
             raw = unpack.decompress(packed.as_py())
             n = int.from_bytes(raw[:8], "little")
             heads.append(np.frombuffer(raw, "<i8", 4 * n, 8).reshape(4, n))
-            words.append(shingles.word_hashes(raw[8 + 32 * n :].split()))
+            words.append(_hashed([raw[8 + 32 * n :]])[0])
     if heads:
         doc, text_hash, start, length = np.concatenate(heads, axis=1)
         flat = np.concatenate(words)
