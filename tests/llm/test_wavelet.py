@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import regex
 from tokenizers import Tokenizer
 
 from tomeflow.llm import pretokens, wavelet
@@ -29,6 +30,48 @@ def test_access_rank_select_and_decode():
         assert m.count(1 << levels) == 0
 
 
+def test_sequences_longer_than_a_part():
+    rng = np.random.default_rng(3)
+    for n, top, levels in [(2 * wavelet.PART + 77, 50257, 16), (wavelet.PART, 70000, 17)]:
+        ids = (rng.zipf(1.2, n) % top).astype(np.uint32 if levels > 16 else np.uint16)
+        m = WaveletMatrix.build(ids, levels)
+        order = ids
+        for k, plane in enumerate(m.planes):
+            bit = order >> (levels - 1 - k) & 1
+            assert np.unpackbits(plane, count=n, bitorder="little").tolist() == bit.tolist()
+            order = order[np.argsort(bit, kind="stable")]
+        assert (m.decode() == ids).all()
+
+
+def test_the_pattern_for_latin_texts_is_the_patterns_own():
+    own, fast = regex.compile(pretokens.WORD_SPACE_PATTERN).findall, pretokens.latin_pattern().findall
+    rng = random.Random(5)
+    chars = [chr(c) for c in range(pretokens.LATIN_END)]
+    for c in chars:
+        for text in (c, f"a{c}b", f" {c} {c}", f"{c}{c}1", f"'{c}", f" \n{c}\n "):
+            assert fast(text) == own(text), repr(text)
+    for _ in range(300):
+        text = "".join(rng.choice([rng.choice(chars), " ", "'", "s", "\n", "ll"]) for _ in range(60))
+        assert fast(text) == own(text), repr(text)
+
+
+def test_a_full_table_keeps_what_the_last_texts_hold(monkeypatch):
+    monkeypatch.setattr(pretokens, "ENTRIES", 60)
+    asked = []
+
+    def encode(strings, plain):
+        asked.extend(strings)
+        return [np.frombuffer(s.encode(), np.uint8).astype("<u2").tobytes() for s in strings]
+
+    encoder = pretokens.PieceEncoder(encode, "<u2")
+    common = " ".join(f"common{i}" for i in range(20))
+    for k in range(12):
+        text = f"x {common} " + " ".join(f"rare{k}n{i}" for i in range(15))
+        (ids,) = encoder.many([text])
+        assert bytes(ids.tolist()).decode() == text
+    assert [asked.count(f" common{i}") for i in range(20)] == [1] * 20
+
+
 def test_file_round_trip():
     ids = np.arange(3000, dtype=np.uint16) % 700
     m, docs, lengths = from_bytes(to_bytes(WaveletMatrix.build(ids, 10), [None, 3, 9, 9], np.array([1, 0, 2000, 999])))

@@ -176,14 +176,14 @@ def roundtrip_digests(docs: DataFrame, vocab: str, pattern: str, id_col: str = "
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocab, pattern)
-        for batch in batches:
+        for doc_ids, texts in pretokens.grouped(batches):
             counts, id_hash, text_hash = [], [], []
-            for ids in c.encode_many(batch.column(1)):
+            for ids in c.encode_many(texts):
                 counts.append(len(ids))
                 id_hash.append(hashlib.sha256(",".join(map(c.decimal.__getitem__, ids)).encode()).hexdigest())
                 text_hash.append(hashlib.sha256(c.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(id_hash, pa.string()), pa.array(text_hash, pa.string())],
+                [doc_ids, pa.array(counts, pa.int64()), pa.array(id_hash, pa.string()), pa.array(text_hash, pa.string())],
                 [id_type.names[0], "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +41,7 @@ from tomeflow.workspace import Workspace
 MAGIC = b"TFWM1"
 BLOCK = 512
 SHARD_BYTES = 12 << 20
+PART = 1 << 16
 
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
@@ -54,15 +56,25 @@ class WaveletMatrix:
     @classmethod
     def build(cls, ids: np.ndarray, levels: int) -> WaveletMatrix:
         planes, ranks = [], []
-        pad = -len(ids) % BLOCK
+        size, pad = len(ids), -len(ids) % BLOCK
+        bit = np.zeros(size + pad, bool)
+        ids, after = ids.copy(), np.empty_like(ids)
         for level in range(levels - 1, -1, -1):
-            bit = (ids & ids.dtype.type(1 << level)) != 0
-            plane = np.packbits(np.concatenate((bit, np.zeros(pad, bool))), bitorder="little")
+            np.not_equal(ids & ids.dtype.type(1 << level), 0, out=bit[:size])
+            plane = np.packbits(bit, bitorder="little")
             ones = _ONES[plane].reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.uint32)
             planes.append(plane)
             ranks.append(np.concatenate(([0], np.cumsum(ones))).astype(np.uint32))
-            ids = np.concatenate((np.compress(~bit, ids), np.compress(bit, ids)))
-        return cls(len(bit) if levels else len(ids), planes, ranks)
+            if level:
+                # The stable partition, a part at a time that stays in the processor's cache.
+                ends = [0, size - int(ranks[-1][-1])]
+                for start in range(0, size, PART):
+                    part, is_one = ids[start : start + PART], bit[start : min(start + PART, size)]
+                    for kind, places in enumerate((np.flatnonzero(~is_one), np.flatnonzero(is_one))):
+                        part.take(places, out=after[ends[kind] : ends[kind] + len(places)], mode="clip")
+                        ends[kind] += len(places)
+                ids, after = after, ids
+        return cls(size, planes, ranks)
 
     def _bit(self, level: int, i: int) -> int:
         return self.planes[level][i >> 3] >> (i & 7) & 1
@@ -130,12 +142,17 @@ class WaveletMatrix:
     def decode(self) -> np.ndarray:
         """All ids, by undoing the partitions from the last plane to the first."""
         out = np.zeros(self.size, np.uint32 if len(self.planes) > 16 else np.uint16)
-        for plane, level in zip(reversed(self.planes), range(len(self.planes))):
-            bit = np.unpackbits(plane, count=self.size, bitorder="little").view(bool)
-            ones = np.flatnonzero(bit)
-            before, out = out, np.empty_like(out)
-            out[np.flatnonzero(~bit)] = before[: self.size - len(ones)]
-            out[ones] = before[self.size - len(ones) :] | out.dtype.type(1 << level)
+        before = np.empty_like(out)
+        for level, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
+            out[zeros:] |= out.dtype.type(1 << level)
+            ends = [0, zeros]
+            for start in range(0, self.size, PART):
+                part = before[start : start + PART]
+                bit = np.unpackbits(plane[start >> 3 : (start + PART) >> 3], count=len(part), bitorder="little").view(bool)
+                for kind, places in enumerate((np.flatnonzero(~bit), np.flatnonzero(bit))):
+                    part[places] = out[ends[kind] : ends[kind] + len(places)]
+                    ends[kind] += len(places)
+            out, before = before, out
         return out
 
 
@@ -181,7 +198,6 @@ def _library(path: str):
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import regex
     from tokenizers import Tokenizer, pre_tokenizers
 
     library = Tokenizer.from_file(path)
@@ -199,10 +215,45 @@ def _library(path: str):
     cuttable = whole.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
     size = library.get_vocab_size()
     dtype = "<u2" if size <= 1 << 16 else "<u4"
-    find = regex.compile(pretokens.WORD_SPACE_PATTERN).findall
+    find = pretokens.latin_pattern().findall
 
     added = tuple(t.content for t in library.get_added_tokens_decoder().values())
 
+    n_bytes = np.zeros(size, np.int64)
+    for token, k in library.get_vocab().items():
+        n_bytes[k] = len(token)
+    table = pretokens.Table()
+
+    def merged(words: pa.Array) -> pa.Array | None:
+        """Ids of pre-tokens; None if they are not the bytes of the pre-tokens."""
+        mapped = pretokens.joined(words, "\0").decode("latin-1").translate(mapping).split(mapping[0])
+        ids = np.array(by_word.encode_batch_fast([mapped], is_pretokenized=True, add_special_tokens=False)[0].ids, dtype)
+        ends, word_ends = np.cumsum(n_bytes[ids]), np.cumsum(pc.binary_length(words).to_numpy().astype(np.int64))
+        edges = np.concatenate(([0], np.searchsorted(ends, word_ends) + 1))
+        return pretokens.binaries(ids, edges) if edges[-1] == len(ids) and (ends[edges[1:] - 1] == word_ends).all() else None
+
+    def ids_of(words: list[str]) -> np.ndarray | None:
+        """Ids of a sequence of pre-tokens; each distinct one is merged once."""
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        entry, lacking = table.find(coded.dictionary)
+        new = coded.dictionary.take(pa.array(lacking))
+        values = merged(new) if len(new) else pa.array([], pa.large_binary())
+        if values is None:
+            return None
+        ids = pa.concat_arrays([table.values, values]).take(pa.array(entry[coded.indices.to_numpy()]))
+        used = np.zeros(len(table.keys) + len(new), bool)
+        used[entry] = True
+        table.add(used[: len(table.keys)], new, values)
+        return np.frombuffer(ids.buffers()[2] or b"", dtype)
+
+    def latin_pieces(pieces: pa.Array) -> pa.Array | None:
+        """Ids of pieces without white space, as lines of one text that begin with a space each."""
+        ids = ids_of(find(" " + pretokens.joined(pieces, "\n ").decode())) if len(end_id) == 1 else None
+        if ids is None or (is_end := ids == end_id[0]).sum() != len(pieces) - 1:
+            return None
+        ends = np.flatnonzero(is_end) - np.arange(len(pieces) - 1)
+        return pretokens.binaries(np.compress(~is_end, ids), np.concatenate(([0], ends, [len(ids) - len(ends)])))
+
     def encode(strings: list[str], plain: int) -> list[bytes]:
         # Latin strings, on whose letters all Unicode versions agree, are split here and given as pre-tokens of one text.
         found: dict[int, bytes] = {}
@@ -210,11 +261,9 @@ def _library(path: str):
         first = bisect.bisect_left(latin, plain)
         latin = latin[:first] + [k for k in latin[first:] if not any(x in strings[k] for x in added)]
         at, text, counts = pretokens.as_lines([strings[k] for k in latin], first)
-        if at and len(end_id) == 1:
-            mapped = "\0".join(find(text)).encode().decode("latin-1").translate(mapping).split(mapping[0])
-            if "\0" not in text:
-                ids = np.array(by_word.encode_batch_fast([mapped], is_pretokenized=True, add_special_tokens=False)[0].ids, dtype)
-                found = pretokens.split_lines([latin[k] for k in at], counts, ids, end_id[0]) or {}
+        if at and len(end_id) == 1 and "\0" not in text:
+            ids = ids_of(find(text))
+            found = ids is not None and pretokens.split_lines([latin[k] for k in at], counts, ids, end_id[0]) or {}
         rest = [k for k in range(len(strings)) if k not in found]
         for k, e in zip(rest, run([strings[k] for k in rest]) if rest else ()):
             found[k] = np.array(e.ids, dtype).tobytes()
@@ -223,7 +272,7 @@ def _library(path: str):
     def whole_texts(texts: pa.Array | list[str]) -> Iterator[np.ndarray]:
         return (np.array(run([t or ""])[0].ids, dtype) for t in (texts.to_pylist() if isinstance(texts, pa.Array) else texts))
 
-    return pretokens.PieceEncoder(encode, dtype, added).many if cuttable else whole_texts, dtype, max(1, (size - 1).bit_length())
+    return pretokens.PieceEncoder(encode, dtype, added, latin_pieces).many if cuttable else whole_texts, dtype, max(1, (size - 1).bit_length())
 
 
 def _filesystem(uri: str):
@@ -244,9 +293,9 @@ def _write_shards(folder: str, vocab: str, end_id: int):
         ids: list[int | None] = []
         parts: list[np.ndarray] = []
         lengths: list[int] = []
-        for batch in batches:
-            ids += batch.column(0).to_pylist()
-            for tokens in encode(batch.column(1)):
+        for doc_ids, texts in pretokens.grouped(batches):
+            ids += doc_ids.to_pylist()
+            for tokens in encode(texts):
                 parts += (tokens, end)
                 lengths.append(len(tokens) + 1)
         if not ids:
