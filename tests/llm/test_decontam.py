@@ -2,8 +2,10 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
+from tomeflow.llm import decontam, pretokens
 from tomeflow.llm.decontam import RAW, canonical, contaminated, document_windows, drop_contaminated, item_windows, judge, op9_decontamination
 
 ITEMS = [
@@ -49,6 +51,39 @@ def test_inconsistent_slots_are_a_coincidence(spark):
     assert [r.id for r in contaminated(docs, items).collect()] == [1]
 
 
+def test_words_of_many_texts_are_typed_as_one_by_one(monkeypatch):
+    rng = random.Random(4)
+    pool = ["Anna", "berg", "12", "5km", "kg", "***", "(what", "end.", "3.5%", "$", "ü", "Two,", "x" * 90, "²", "A.B", "don't"]
+    gaps = [" ", "  ", "\n", "\t ", "\x1c", "\x85", "\xa0", "\u3000"]
+    texts = [None, "", " ", "\x1c\x1d"] + ["".join(rng.choice(pool) + str(rng.choice(["", k])) + rng.choice(gaps) for _ in range(rng.randrange(30))) for k in range(200)]
+    texts += [" " + t for t in texts[4:50]]
+    for size in (1, 30, 1000):
+        monkeypatch.setattr(pretokens, "ENTRIES", size)
+        table = pretokens.Table(pa.uint64())
+        for part in (texts[:60], texts[60:], texts[::-1]):
+            got = list(decontam.typed_texts(pa.array(part, pa.string()), table))
+            assert [x.tolist() for x in got] == [[decontam._typed(w) for w in (t or "").split()] for t in part]
+            for t, typed in zip(part, got):
+                for own, given in zip(decontam.forms(t), decontam.forms(None, typed), strict=True):
+                    assert all(own[k].tolist() == given[k].tolist() for k in (0, 1, 3, 4))
+            assert len(table.keys) <= size
+
+
+def test_common_words_are_typed_once_though_the_table_is_full(monkeypatch):
+    monkeypatch.setattr(pretokens, "ENTRIES", 60)
+    monkeypatch.setattr(decontam, "WORD_TABLE", 60)
+    monkeypatch.setattr(decontam, "_TYPES", pretokens.Table(pa.uint64()), raising=False)
+    monkeypatch.setattr(pretokens, "GROUP_BYTES", 1)  # a group for each batch
+    typed, asked = decontam._typed, []
+    monkeypatch.setattr(decontam, "_typed", lambda word: asked.append(word) or typed(word))
+    common = [f"every{chr(97 + i)}" for i in range(20)]
+    texts = [" ".join(common + [f"seldom{chr(97 + k)}{chr(97 + i)}" for i in range(15)]) for k in range(12)]
+    batches = [pa.RecordBatch.from_pydict({"id": [k], "text_hash": [k], "text": [t]}) for k, t in enumerate(texts)]
+    rows = [r for b in decontam._hash_rows([8], [])(iter(batches)) for r in b.to_pylist()]
+    assert [asked.count(w) for w in common] == [1] * 20
+    assert sorted((r["id"], r["hash"] % (1 << 64)) for r in rows) == sorted((k, int(h)) for k, t in enumerate(texts) for _, _, hs, _ in document_windows(t, [8], []) for h in hs)
+
+
 def test_clean_texts_share_no_template(spark):
     rng = random.Random(1)
     words = [f"v{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]

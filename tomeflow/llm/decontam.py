@@ -26,7 +26,8 @@ one distance between their places in document and item, or at distances that dif
 little; one that passes is enough.  If none does, the windows of the whole document are
 judged together, for items that it holds in parts.
 
-Memory: a pair's hits are one row, bounded by the two texts; nothing of the benchmark or
+Memory: words are typed for a group of texts at a time, through a bounded table of words;
+a pair's hits are one row, bounded by the two texts; nothing of the benchmark or
 the documents is collected but the window sizes in use, ``WINDOW`` at most of each kind.
 
 Defined results: null texts have no windows; items without any window are found by their
@@ -44,11 +45,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tomeflow.llm import shingles
+from tomeflow.llm import pretokens, shingles
 from tomeflow.llm.batches import small_batches
 from tomeflow.llm.joins import BROADCAST_IDS, NULL_ID, id_side, keyed
 from tomeflow.workspace import Workspace
@@ -62,6 +64,7 @@ RAW_SEED = 9
 DRIFT = 3  # tokens put in or left out at one place of an occurrence
 BACKWARD = 0.5
 WORD_TABLE = 300_000
+HASH_ROWS = 250_000
 
 NUMBER, NAME, UNIT, GLUED, ENDS, SKIP, FUNCTION = 1, 2, 4, 8, 16, 32, 64
 FLAG_BITS = 7
@@ -100,12 +103,13 @@ def _typed(word: str) -> int:
         return xxhash.xxh64_intdigest(low.encode()) >> FLAG_BITS << FLAG_BITS | name | (UNIT if low in UNITS else 0) | (FUNCTION if low in FUNCTION_WORDS else 0)
     ends = ENDS if word.rstrip("\"')]»”’*$#&")[-1:] in (".", "!", "?", ":", "…") else 0
     core = _EDGE.sub("", word)
-    if not core or not any(c.isalnum() or c in "%€$£" for c in core):
+    letters = core.isalpha()  # then neither digits nor a unit after them
+    if not letters and not any(c.isalnum() or c in "%€$£" for c in core):
         return SKIP | ends
     low = core.lower()
-    if _DIGITS.fullmatch(core) or low in NUMBER_WORDS:
+    if low in NUMBER_WORDS or not letters and _DIGITS.fullmatch(core):
         return _SLOT[NUMBER] | NUMBER | ends
-    if (m := _WITH_UNIT.fullmatch(low)) and m[2] in UNITS:
+    if not letters and (m := _WITH_UNIT.fullmatch(low)) and m[2] in UNITS:
         return _SLOT[NUMBER] | NUMBER | GLUED | ends
     h = xxhash.xxh64_intdigest(low.encode()) >> FLAG_BITS << FLAG_BITS
     unit = UNIT if low in UNITS else 0
@@ -122,6 +126,7 @@ class _Words(dict):
 
 
 _WORDS = _Words()
+_TYPES = pretokens.Table(pa.uint64())
 
 
 Form = tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]
@@ -132,11 +137,32 @@ def canonical(text: str | None, openings: bool = False) -> tuple[np.ndarray, np.
     return forms(text)[-1 if openings else 0][:4]
 
 
-def forms(text: str | None) -> list[Form]:
-    """A text with sentence openings as words and, where that differs, as names; the last array marks such names."""
-    words = (text or "").split()
-    t = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    at = np.arange(len(words))
+def typed_texts(texts: pa.Array, table: pretokens.Table) -> Iterator[np.ndarray]:
+    """The words of each text as ``_typed`` gives them, each distinct word that the table lacks typed once."""
+    split = pc.utf8_split_whitespace(pc.fill_null(texts, ""))  # as str.split() does, but for empty words at the ends
+    words, offsets = split.flatten(), split.offsets.to_numpy()
+    coded = words.dictionary_encode()
+    entry, lacking = table.find(coded.dictionary)
+    new = coded.dictionary.take(pa.array(lacking))
+    values = pa.array(np.fromiter(map(_typed, new.to_pylist()), np.uint64, len(new)))
+    known = table.values.to_numpy()
+    used = np.zeros(len(known) + len(new), bool)
+    used[entry] = True
+    real = np.not_equal(pc.binary_length(words).to_numpy(), 0)
+    t = np.concatenate((known, values.to_numpy()))[entry[coded.indices.to_numpy()[real]]]
+    table.add(used[: len(known)], new, values)
+    edges = np.concatenate(([0], np.cumsum(real)))[offsets - offsets[0]].tolist()
+    return (t[b:e] for b, e in zip(edges, edges[1:]))
+
+
+def forms(text: str | None, typed: np.ndarray | None = None) -> list[Form]:
+    """A text with sentence openings as words and, where that differs, as names; the last array marks such names.
+
+    With the words' types given, the text is not needed and the forms have no words.
+    """
+    words = (text or "").split() if typed is None else []
+    t = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words)) if typed is None else typed
+    at = np.arange(len(t))
     flags = t.astype(np.uint8) & np.uint8(FLAGS)
     opening = np.ones(len(t), bool)
     opening[1:] = (flags[:-1] & ENDS) > 0
@@ -226,10 +252,10 @@ def item_windows(text: str | None) -> Iterator[tuple[int, int, list[tuple[int, i
         yield RAW, size, [(int(x), s, []) for s, x in enumerate(shingles.windows(h, size))]
 
 
-def document_windows(text: str | None, sizes: list[int], raw_sizes: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, Callable[[int], list[str]]]]:
+def document_windows(text: str | None, sizes: list[int], raw_sizes: list[int], typed: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, Callable[[int], list[str]]]]:
     """``(size, places, hashes, values of the k-th)`` of a document; of the second form only the windows that differ."""
     places = None
-    for h, slot, words, at, doubtful in forms(text):
+    for h, slot, words, at, doubtful in forms(text, typed):
         for size in sizes:
             starts, hashes = template_windows(h, slot, size)
             place = starts
@@ -328,15 +354,17 @@ def _hash_rows(sizes: list[int], raw_sizes: list[int]):
     """Window hashes of documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            owner, found = [], []
-            for k, text in enumerate(batch.column(2)):
-                hashes = [h for _, _, h, _ in document_windows(text.as_py(), sizes, raw_sizes)]
+        for ids, text_hashes, texts in pretokens.grouped(batches, 2):
+            owner, found, n = [], [], 0
+            for k, typed in enumerate(typed_texts(texts, _TYPES)):
+                hashes = [h for _, _, h, _ in document_windows(texts[k].as_py() if raw_sizes else None, sizes, raw_sizes, typed)]
                 found += hashes
                 owner.append(np.full(sum(map(len, hashes)), k))
-            if found:
-                rows = pa.array(np.concatenate(owner))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), _signed(np.concatenate(found))], ["id", "text_hash", "hash"])
+                n += len(owner[-1])
+                if n and (n >= HASH_ROWS or k == len(texts) - 1):
+                    at = pa.array(np.concatenate(owner))
+                    yield pa.RecordBatch.from_arrays([ids.take(at), text_hashes.take(at), _signed(np.concatenate(found))], ["id", "text_hash", "hash"])
+                    owner, found, n = [], [], 0
 
     return rows
 

@@ -110,10 +110,10 @@ def binaries(data: np.ndarray, edges: np.ndarray) -> pa.Array:
 
 
 class Table:
-    """Strings and the bytes of their ids, ``ENTRIES`` at most; a full table keeps what was used last."""
+    """Strings and a value of each (the bytes of their ids), ``ENTRIES`` at most; a full table keeps what was used last."""
 
-    def __init__(self):
-        self.keys, self.values = pa.array([], pa.string()), pa.array([], pa.large_binary())
+    def __init__(self, kind: pa.DataType = pa.large_binary()):
+        self.keys, self.values = pa.array([], pa.string()), pa.array([], kind)
 
     def find(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The entry of each of distinct strings, and which ones lack; those count on from the table's end."""
