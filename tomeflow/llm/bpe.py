@@ -176,7 +176,7 @@ def roundtrip_digests(docs: DataFrame, vocab: str, pattern: str, id_col: str = "
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocab, pattern)
-        for doc_ids, texts in pretokens.grouped(batches):
+        for doc_ids, texts in pretokens.grouped(batches, share=2):
             counts, id_hash, text_hash = [], [], []
             for ids in c.encode_many(texts):
                 counts.append(len(ids))

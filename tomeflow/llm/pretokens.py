@@ -25,7 +25,7 @@ LATIN_END = 0x250
 
 ENTRIES = 500_000
 PIECE_CHARS = 48
-GROUP_BYTES = 8_000_000
+GROUP_BYTES = 16_000_000
 
 
 #: What a piece has that is empty or holds white space, control characters or characters from U+0250 on.
@@ -84,13 +84,13 @@ def split_lines(at: list[int], counts: list[int], ids: np.ndarray, line_break: i
     return {k: raw[b:e] for k, b, e in zip(at, begins, stops)}
 
 
-def grouped(batches: Iterator[pa.RecordBatch], text: int = 1) -> Iterator[list[pa.Array]]:
-    """Columns of several batches together, as far as the encoder takes their texts as one group."""
+def grouped(batches: Iterator[pa.RecordBatch], text: int = 1, share: int = 1) -> Iterator[list[pa.Array]]:
+    """Columns of several batches together, as far as their texts are within a group of the encoder, or a share of that."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
         n = batch.column(text).nbytes
-        if held and size + n > GROUP_BYTES:
+        if held and size + n > GROUP_BYTES // share:
             yield [pa.concat_arrays(c) for c in zip(*(b.columns for b in held))]
             held, size = [], 0
         held.append(batch)
@@ -170,7 +170,9 @@ class PieceEncoder:
             easy_ids = self.latin(pieces.take(pa.array(easy))) if len(easy) else None
         if easy_ids is None:
             easy, easy_ids = np.zeros(0, np.int64), pa.array([], pa.large_binary())
-        hard = np.flatnonzero(inner & ~np.isin(np.arange(len(pieces)), easy, assume_unique=True))
+        hard = inner.copy()
+        hard[easy] = False
+        hard = np.flatnonzero(hard)
         strings = pieces.take(pa.array(hard)).to_pylist()
         # Pieces that are not plain make their texts odd; of a head only the end matters, and an empty one is no piece at all.
         odd = [known + k for k, x in zip(hard.tolist(), strings) if not (x.isalpha() or is_plain(x))]

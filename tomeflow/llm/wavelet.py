@@ -62,7 +62,7 @@ class WaveletMatrix:
         for level in range(levels - 1, -1, -1):
             np.not_equal(ids & ids.dtype.type(1 << level), 0, out=bit[:size])
             plane = np.packbits(bit, bitorder="little")
-            ones = _ONES[plane].reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.uint32)
+            ones = np.bitwise_count(plane.view(np.uint64)).reshape(-1, BLOCK // 64).sum(axis=1, dtype=np.uint32)
             planes.append(plane)
             ranks.append(np.concatenate(([0], np.cumsum(ones))).astype(np.uint32))
             if level:
