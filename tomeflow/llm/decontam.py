@@ -354,7 +354,7 @@ def _hash_rows(sizes: list[int], raw_sizes: list[int]):
     """Window hashes of documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, text_hashes, texts in pretokens.grouped(batches, 2, share=2):
+        for ids, text_hashes, texts in pretokens.grouped(batches, 2, share=4):
             owner, found, n = [], [], 0
             for k, typed in enumerate(typed_texts(texts, _TYPES)):
                 hashes = [h for _, _, h, _ in document_windows(texts[k].as_py() if raw_sizes else None, sizes, raw_sizes, typed)]
