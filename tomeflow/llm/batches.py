@@ -1,7 +1,11 @@
-"""Arrow batches that fit texts."""
+"""Arrow batches that fit texts, and memory that workers give back."""
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 ROWS_CONF, ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 400
@@ -21,3 +25,32 @@ def small_batches(spark: SparkSession, rows: int = ROWS) -> None:
     size = spark.conf.get(BYTES_CONF, None)
     if size is None or int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)) > BYTES:
         spark.conf.set(BYTES_CONF, str(BYTES))
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim  # glibc's
+except (AttributeError, OSError, TypeError):
+    _trim = None
+
+
+def release() -> None:
+    """Give memory that is free, but that Arrow's pool and the C library hold on to, back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def releasing(rows: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``rows``, which maps batches, with a ``release`` at the end of every task.
+
+    Spark keeps a Python worker for the tasks of all later stages; without this each of them starts
+    with what the largest one before it had taken.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from rows(batches)
+        finally:
+            release()
+
+    return run

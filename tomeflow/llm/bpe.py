@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomeflow.llm import pretokens
-from tomeflow.llm.batches import small_batches
+from tomeflow.llm.batches import release, releasing, small_batches
 
 
 def byte_alphabet() -> list[str]:
@@ -83,6 +83,10 @@ def sentencepiece_model(ranks: dict[bytes, int]) -> bytes:
     return b"".join(pieces) + _field(2, trainer) + _field(3, normalizer)
 
 
+#: Texts are encoded together up to this share of the encoder's group: pieces, ids and tables take many times their bytes.
+SHARE = 4
+
+
 class Codec:
     """Encoder and decoder of one vocabulary; made once in each Python worker."""
 
@@ -176,7 +180,7 @@ def roundtrip_digests(docs: DataFrame, vocab: str, pattern: str, id_col: str = "
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocab, pattern)
-        for doc_ids, texts in pretokens.grouped(batches, share=2):
+        for doc_ids, texts in pretokens.grouped(batches, share=SHARE):
             counts, id_hash, text_hash = [], [], []
             for ids in c.encode_many(texts):
                 counts.append(len(ids))
@@ -186,8 +190,9 @@ def roundtrip_digests(docs: DataFrame, vocab: str, pattern: str, id_col: str = "
                 [doc_ids, pa.array(counts, pa.int64()), pa.array(id_hash, pa.string()), pa.array(text_hash, pa.string())],
                 [id_type.names[0], "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+            release()
 
-    return docs.select(id_col, text_col).mapInArrow(digests, schema)
+    return docs.select(id_col, text_col).mapInArrow(releasing(digests), schema)
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

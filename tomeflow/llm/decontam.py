@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tomeflow.llm import pretokens, shingles
-from tomeflow.llm.batches import small_batches
+from tomeflow.llm.batches import releasing, small_batches
 from tomeflow.llm.joins import BROADCAST_IDS, NULL_ID, id_side, keyed
 from tomeflow.workspace import Workspace
 
@@ -406,7 +406,7 @@ def _held(ws: Workspace, rows: DataFrame, benchmark: DataFrame, item_col: str, t
     used = items.groupBy("exact").agg(F.sort_array(F.collect_set("size")).alias("sizes")).collect()  # WINDOW sizes at most of either kind
     sizes, raw_sizes = ([x for r in used if r["exact"] is kind for x in r["sizes"]] for kind in (False, True))
     known = ws.stage(items.select("hash").distinct(), "item-hashes")
-    hits = ws.stage(rows.mapInArrow(_hash_rows(sizes, raw_sizes), "id long, text_hash long, hash long").join(id_side(known, broadcast_hashes), "hash", "left_semi").distinct(), "hits")
+    hits = ws.stage(rows.mapInArrow(releasing(_hash_rows(sizes, raw_sizes)), "id long, text_hash long, hash long").join(id_side(known, broadcast_hashes), "hash", "left_semi").distinct(), "hits")
 
     # An item's rarest windows: one more than it may lack.
     need = F.when(F.col("exact"), F.col("total")).otherwise(F.ceil(F.lit(COVERAGE) * F.col("total")))
@@ -422,7 +422,7 @@ def _held(ws: Workspace, rows: DataFrame, benchmark: DataFrame, item_col: str, t
     # A document's matched windows: as many as its text has at most.
     wanted = covered.join(items.select("entry", "hash"), "entry").select("id", "text_hash", "hash").distinct().join(hits, ["id", "text_hash", "hash"], "left_semi")
     wanted = wanted.groupBy("id", "text_hash").agg(F.collect_list("hash").alias("wanted"))
-    slots = ws.stage(texts.join(wanted.hint("merge"), ["id", "text_hash"]).select("id", "text_hash", "text", "wanted").mapInArrow(_slot_rows(sizes, raw_sizes), SLOT_ROW), "slots")
+    slots = ws.stage(texts.join(wanted.hint("merge"), ["id", "text_hash"]).select("id", "text_hash", "text", "wanted").mapInArrow(releasing(_slot_rows(sizes, raw_sizes)), SLOT_ROW), "slots")
     pairs = (
         covered.join(items, "entry")
         .join(slots, ["id", "text_hash", "hash"])
