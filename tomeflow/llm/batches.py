@@ -40,8 +40,8 @@ def release() -> None:
         _trim(0)
 
 
-def releasing(rows: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``rows``, which maps batches, with a ``release`` at the end of every task.
+def releasing(rows: Callable[[Iterator], Iterator], clear: Callable[[], None] | None = None) -> Callable[[Iterator], Iterator]:
+    """``rows``, which maps batches, with a ``release`` at the end of every task, after ``clear`` has emptied a table.
 
     Spark keeps a Python worker for the tasks of all later stages; without this each of them starts
     with what the largest one before it had taken.
@@ -51,6 +51,8 @@ def releasing(rows: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iter
         try:
             yield from rows(batches)
         finally:
+            if clear:
+                clear()
             release()
 
     return run

@@ -84,7 +84,9 @@ def sentencepiece_model(ranks: dict[bytes, int]) -> bytes:
 
 
 #: Texts are encoded together up to this share of the encoder's group: pieces, ids and tables take many times their bytes.
-SHARE = 4
+SHARE = 8
+#: The table of pieces has this share of the largest one's entries: each group's look-up hashes all of them anew.
+TABLE_SHARE = 2
 
 
 class Codec:
@@ -100,7 +102,7 @@ class Codec:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(self.ranks))
         self.find = regex.compile(pattern).findall
         self.alphabet = dict(enumerate(byte_alphabet()))
-        self.pieces = pretokens.PieceEncoder(self._encode_strings, "<u4") if pattern == pretokens.WORD_SPACE_PATTERN else None
+        self.pieces = pretokens.PieceEncoder(self._encode_strings, "<u4", share=TABLE_SHARE) if pattern == pretokens.WORD_SPACE_PATTERN else None
 
     def _merge(self, pre_tokens: list[str]) -> list[list[int]]:
         """Ids of pre-tokens: the token that a pre-token is as a whole, else sentencepiece's merges."""

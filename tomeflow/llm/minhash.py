@@ -142,7 +142,7 @@ def _features(docs: DataFrame, id_col: str, text_col: str, ws: Workspace) -> Dat
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
     return ws.stage(
         docs.select(key.alias("id"), F.col(text_col).alias("text")).mapInArrow(
-            releasing(_sketches), "id long, n long, d1 long, d2 long, keys array<long>"
+            releasing(_sketches, shingles.forget_words), "id long, n long, d1 long, d2 long, keys array<long>"
         ),
         "sketches",
     )
@@ -217,7 +217,7 @@ def _compare(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     one, two = texts.select(F.col("rep").alias("centre"), F.col("text").alias("tc")), texts.select(F.col("rep").alias("member"), F.col("text").alias("tm"))
     # Pairs grow with the corpus: they are sorted to their texts at any size, never broadcast.
     both = pairs.join(one.hint("merge"), "centre").join(two.hint("merge"), "member").select("centre", "member", "n", "cc", "cm", "more", "tc", "tm")
-    return both.mapInArrow(releasing(_judge(percent)), JUDGED)
+    return both.mapInArrow(releasing(_judge(percent), shingles.forget_words), JUDGED)
 
 
 def _prefixes(ws: Workspace, family: DataFrame, labels: DataFrame, percent: int) -> DataFrame:

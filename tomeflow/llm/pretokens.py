@@ -110,10 +110,10 @@ def binaries(data: np.ndarray, edges: np.ndarray) -> pa.Array:
 
 
 class Table:
-    """Strings and a value of each (the bytes of their ids), ``ENTRIES`` at most; a full table keeps what was used last."""
+    """Strings and a value of each (the bytes of their ids), a share of ``ENTRIES`` at most; a full table keeps what was used last."""
 
-    def __init__(self, kind: pa.DataType = pa.large_binary()):
-        self.keys, self.values = pa.array([], pa.string()), pa.array([], kind)
+    def __init__(self, kind: pa.DataType = pa.large_binary(), share: int = 1):
+        self.keys, self.values, self.share = pa.array([], pa.string()), pa.array([], kind), share
 
     def find(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The entry of each of distinct strings, and which ones lack; those count on from the table's end."""
@@ -127,10 +127,11 @@ class Table:
         """``used`` marks the entries that the last texts hold."""
         short = pc.less_equal(pc.utf8_length(strings), PIECE_CHARS)
         strings, values = strings.filter(short), values.filter(short)
-        if len(self.keys) + len(strings) > ENTRIES:
-            kept = pa.array(np.flatnonzero(used)[: ENTRIES // 2])
+        bound = ENTRIES // self.share
+        if len(self.keys) + len(strings) > bound:
+            kept = pa.array(np.flatnonzero(used)[: bound // 2])
             self.keys, self.values = self.keys.take(kept), self.values.take(kept)
-            strings, values = (x.slice(0, ENTRIES - len(kept)) for x in (strings, values))
+            strings, values = (x.slice(0, bound - len(kept)) for x in (strings, values))
         self.keys, self.values = pa.concat_arrays([self.keys, strings]), pa.concat_arrays([self.values, values])
 
 
@@ -142,9 +143,9 @@ class PieceEncoder:
     ``latin``, if given, has the ids of pieces of visible characters below U+0250, each after a space.
     """
 
-    def __init__(self, encode: Callable[[list[str], int], list[bytes]], dtype: str, whole: tuple[str, ...] = (), latin: Callable[[pa.Array], pa.Array | None] | None = None):
+    def __init__(self, encode: Callable[[list[str], int], list[bytes]], dtype: str, whole: tuple[str, ...] = (), latin: Callable[[pa.Array], pa.Array | None] | None = None, share: int = 1):
         self.encode, self.dtype, self.whole, self.latin = encode, np.dtype(dtype), whole, latin
-        self.table = Table()
+        self.table = Table(share=share)
 
     def _group(self, texts: pa.Array) -> Iterator[np.ndarray]:
         cut = pc.split_pattern(texts, " ")

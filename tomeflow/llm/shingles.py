@@ -28,6 +28,10 @@ class WordTable(dict):
 WORDS = WordTable()
 
 
+def forget_words() -> None:
+    WORDS.clear()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
