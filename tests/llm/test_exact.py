@@ -1,9 +1,14 @@
 """Exact dedup against a dictionary of texts."""
 
+import glob
 import hashlib
 import random
 
+import pytest
+
+from tomeflow.llm import exact, joins
 from tomeflow.llm.exact import drop_exact_copies, exact_groups
+from tomeflow.workspace import shared_dir
 
 
 def fold(t):
@@ -61,3 +66,35 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert exact_groups(docs).count() == 0
     assert drop_exact_copies(docs).count() == 0
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """As many shuffle partitions as a large cluster has, and none put together."""
+    conf = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_few_files_are_written_whatever_the_shuffle_partitions(spark, many_partitions):
+    rows = [(i, f"text {i % 400}") for i in range(1200)] + [(2000 + i, "One large GROUP") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    folder = shared_dir(spark).removeprefix("file://") + "/tomeflow/digest-index-*"
+    before = set(glob.glob(f"{folder}/*/part-*"))
+    df = exact_groups(docs)
+    assert len(set(glob.glob(f"{folder}/*/part-*")) - before) <= 5 + 5 + 1  # runs, compacted runs, collisions
+    assert df.rdd.getNumPartitions() <= 5
+    assert got(df) == brute(rows)
+
+
+@pytest.mark.parametrize("bits", [256, 8])
+def test_beyond_the_broadcast_limits(spark, monkeypatch, bits):
+    monkeypatch.setattr(exact, "BROADCAST_ENTRIES", 0)
+    monkeypatch.setattr(joins, "BROADCAST_IDS", 0)
+    rows = sample()
+    docs = spark.createDataFrame(rows + [(7, "again")], "doc_id long, text string")
+    assert got(exact_groups(docs, digest_bits=bits)) == brute(rows + [(7, "again")])

@@ -4,10 +4,11 @@
   flushed as a run, a Parquet file with a Bloom filter on the digest, without any
   shuffle.  Runs hold 32 bytes of SHA-256 and an identifier, never texts.
 * Compaction merges the runs by digest (map-side combined) into one entry per
-  digest: the identifier that stays and the number of rows.
-* A hit, a digest with more than one row, is not believed: the bytes of every
-  member are compared with those of the row that stays.  Texts that differ under
-  one digest are grouped again by the whole text.
+  digest: the identifier that stays and the number of rows.  Its table has as many
+  files as the runs fill partitions, however many partitions the merge has.
+* A hit, a digest with more than one row, is not believed: the least and the
+  greatest text of its members are compared byte by byte, and are equal only if
+  all are.  Texts that differ under one digest are grouped again by the whole text.
 
 The contract of the query keeps the *largest* identifier of equal texts; the
 index takes either end as a parameter.
@@ -23,9 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomeflow.llm.joins import id_side
+from tomeflow.llm import joins
 from tomeflow.workspace import Workspace
 
+#: So many compacted entries (a digest of 32 bytes and three numbers each) are broadcast at most.
+BROADCAST_ENTRIES = 200_000
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -80,43 +84,42 @@ class DigestIndex:
         Digests of one row need no entry: no other row looks them up.
         """
         pick = F.max if self.keep == "largest" else F.min
+        entries = self.entries()
         merged = (
-            self.entries()
-            .groupBy("digest")
+            entries.groupBy("digest")
             .agg(pick(F.struct("id", "uid")).alias("top"), F.count("*").alias("group_size"))
             .where("group_size > 1")
             .select("digest", F.col("top.id").alias("keep_id"), F.col("top.uid").alias("keep_uid"), "group_size")
         )
-        return self.ws.stage(merged, "compacted")
+        # Every file costs the writer a few child processes on a local disk, and the readers a request.
+        files = max(self.spark.sparkContext.defaultParallelism, entries.rdd.getNumPartitions())
+        return self.ws.stage(merged.coalesce(files), "compacted")
+
+
+def _bounded(side: DataFrame, rows: int, limit: int) -> DataFrame:
+    """A side of a join that goes to the other one up to a counted number of rows; beyond it both are shuffled and sorted."""
+    return F.broadcast(side) if rows <= limit else side.hint("merge")
 
 
-def _verified(index: DigestIndex, docs: DataFrame, compacted: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
-    """Rows whose bytes differ from those of their digest's keeper, regrouped by text; None if there are none.
+def _verified(index: DigestIndex, docs: DataFrame, digests: DataFrame, hits: int, id_col: str, text_col: str) -> DataFrame | None:
+    """Texts that share one of ``digests`` with a different text, regrouped by text; None if there are none.
 
-    Only documents of hit digests pass the first join, so that the second one moves the texts of copies alone.
+    Only documents of hit digests pass the join.  Their least and greatest text are found on the map side first, so that
+    a digest of very many rows sends two texts a task, and nothing but colliding digests is written.
     """
     ws = index.ws
-    hit_ids = ws.stage(index.entries().join(compacted.select("digest"), "digest", "left_semi").select("id").distinct(), "hits")
+    hit_ids = index.entries().join(digests, "digest", "left_semi").select("id")
     folded = fold_ascii(F.col("_tf_text"))
     texts = (
         docs.select(F.col(id_col).cast("long").alias("_tf_id"), F.col(text_col).alias("_tf_text"))
-        .join(id_side(hit_ids), F.col("_tf_id").eqNullSafe(F.col("id")), "left_semi")
+        .join(_bounded(hit_ids, hits, joins.BROADCAST_IDS), F.col("_tf_id").eqNullSafe(F.col("id")), "left_semi")
         .select(F.col("_tf_id").alias("id"), folded.alias("text"))
         .withColumn("digest", index.digest(F.col("text")))
     )
-    texts = ws.stage(texts, "hit-texts")
-    keepers = (
-        texts.join(
-            compacted.select("keep_id", F.col("digest").alias("keep_digest")),
-            F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("keep_digest")),
-        )
-        .select("digest", F.col("text").alias("keep_text"))
-        .dropDuplicates(["digest"])
-    )
-    keepers = ws.stage(keepers, "keepers")  # written, so that the join below can split a digest of very many rows
-    wrong = ws.stage(texts.join(keepers, "digest").where("text <> keep_text").select("digest"), "collisions")
+    ends = texts.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("greatest"))
+    wrong = ws.stage(ends.where("least <> greatest").select("digest"), "collisions")
     if wrong.isEmpty():
-        ws.drop(texts, keepers, wrong)
+        ws.drop(wrong)
         return None
     if index.digest_bits == 256:
         raise ValueError("two different texts have one SHA-256; nothing was dropped")
@@ -142,7 +145,10 @@ def exact_groups(
     index = DigestIndex(docs.sparkSession, keep, digest_bits)
     entries = index.flush(docs, id_col, text_col)
     compacted = index.compact()
-    regrouped = _verified(index, docs, compacted, id_col, text_col)
+    groups, hits = compacted.agg(F.count("*"), F.coalesce(F.sum("group_size"), F.lit(0))).first()
+    digests = _bounded(compacted.select("digest"), groups, BROADCAST_ENTRIES)
+    compacted = _bounded(compacted, groups, BROADCAST_ENTRIES)
+    regrouped = _verified(index, docs, digests, hits, id_col, text_col) if groups else None
     if regrouped is None:
         joined = entries.join(compacted, "digest", "left")
         lone = F.col("group_size").isNull()
@@ -187,7 +193,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         # An identifier has one row here, unless texts of one identifier differ: the digest tells them apart.
         shared = lost.groupBy("_tf_id").count().where("count > 1").isEmpty()
         if shared and docs.groupBy(id_col).count().where("count > 1").isEmpty():
-            return docs.join(id_side(lost.select("_tf_id")), docs[id_col].cast("long").eqNullSafe(F.col("_tf_id")), "left_anti")
+            return docs.join(joins.id_side(lost.select("_tf_id")), docs[id_col].cast("long").eqNullSafe(F.col("_tf_id")), "left_anti")
     tagged = docs.withColumn("_tf_hash", F.unhex(F.sha2(fold_ascii(F.col(text_col)), 256)))
     left = tagged.join(
         lost,
